@@ -180,7 +180,7 @@ def dataset_metrics(profile: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """The record that collection conditions are checked against.
 
     A target of numbers with many values is regression; every other target is classification.
-    Bools count as numbers here. No target, or an empty one, is regression of unknown subtype.
+    No target, or an empty one, is regression of unknown subtype.
     """
     base = profile.groupBy(*KEY).agg(
         F.max("n_rows").alias("n_instances"),
@@ -193,7 +193,7 @@ def dataset_metrics(profile: DataFrame, limits: Limits = Limits()) -> DataFrame:
     )
     classes = F.col("n_classes")
     classed = (classes > 0) & (
-        ~F.col("_dtype").isin(*NUMERIC_DTYPES, "bool") | (classes <= limits.max_classes)
+        ~F.col("_dtype").isin(NUMERIC_DTYPES) | (classes <= limits.max_classes)
     )
     subtype = (
         F.when(~classed & (classes > 0), "continuous")

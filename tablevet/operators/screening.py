@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tablevet.functions.values import NUMERIC_DTYPES, value_key
 from tablevet.limits import Limits
 from tablevet.operators.profile import catalog_task, names_where, of_target, share
+from tablevet.session import staged
 from tablevet.sources.fleet import KEY, Fleet
 
 OUTCOME = [*KEY, "status", "reason"]
@@ -229,10 +230,11 @@ def gate_outcomes(
 def clean_fleet(fleet: Fleet, limits: Limits = Limits(), tasks: DataFrame | None = None) -> Fleet:
     """Cleaned rows and columns of the validated datasets.
 
-    The statistics and the output read the same exchange of different rows. The per-dataset record
-    is joined by key: Spark broadcasts it when it is small and splits skewed datasets when not.
+    The different rows are staged, so the shuffle of whole rows runs once for both the statistics
+    and the output. The per-dataset record is joined by key: Spark broadcasts it when it is small
+    and splits skewed datasets when not.
     """
-    distinct = distinct_rows(fleet.rows)
+    distinct = staged(distinct_rows(fleet.rows), "distinct-rows")
     passed = (
         screen_rows(distinct, fleet.columns, limits, tasks)
         .where(F.col("status") == "validated")
