@@ -49,45 +49,55 @@ CRITERIA_SCHEMA = pa.schema(
 )
 
 
-def cond_to_column(field: str, op: str, value, columns: list[str], unknown: str = "pass") -> Column:
-    """Truth of one condition; never NULL. A missing or non-numeric operand makes it false.
+def number_or_none(value) -> float | int | None:
+    try:
+        number = float(value)
+    except (TypeError, ValueError):
+        return None
+    return int(number) if number.is_integer() else number
 
-    ``unknown`` says what a field the metrics lack does: ``pass`` or ``error``.
+
+def cond_to_column(field: str, op: str, value, schema: T.StructType, unknown: str = "pass") -> Column:
+    """Truth of one condition; NULL, which a filter drops, for a missing or non-numeric operand.
+
+    Numeric columns are compared as they are, so the comparison reaches the Parquet scan.
+    ``unknown`` says what a field outside ``schema`` does: ``pass`` or ``error``.
     """
-    if field not in columns:
+    if field not in schema.fieldNames():
         if unknown == "error":
             raise ValueError(f"unknown field: {field}")
         return F.lit(True)
+    column = F.col(field)
+    if op in ("==", "!=") and field not in NUMERIC_FIELDS:
+        return COMPARE[op](F.lower(column.cast("string")), F.lower(F.lit(str(value))))
+    if not isinstance(schema[field].dataType, T.NumericType):
+        column = column.cast("string").try_cast("double")
     if op == "between":
         low, high = value
-        number = F.col(field).cast("string").try_cast("double")
-        truth = number.between(float(low), float(high))
-    elif op not in COMPARE:
+        return column.between(number_or_none(low), number_or_none(high))
+    if op not in COMPARE:
         raise ValueError(f"unknown operator: {op}")
-    elif op in ("==", "!=") and field not in NUMERIC_FIELDS:
-        truth = COMPARE[op](F.lower(F.col(field).cast("string")), F.lower(F.lit(str(value))))
-    else:
-        number = F.col(field).cast("string").try_cast("double")
-        bound = to_number(F.lit(str(value)))
-        truth = COMPARE[op](number, bound) & ~F.isnan(number)
-    return F.coalesce(truth, F.lit(False))
+    truth = COMPARE[op](column, F.lit(number_or_none(value)))
+    fractional = not isinstance(schema[field].dataType, T.IntegralType)
+    return truth & ~F.isnan(column) if fractional and op in (">", ">=", "!=") else truth
 
 
-def _truth(condition: dict, columns: list[str], unknown: str) -> Column:
+def _truth(condition: dict, schema: T.StructType, unknown: str) -> Column:
     if "any_of" in condition:
-        groups = [compile_conditions(group, columns, unknown) for group in condition["any_of"]]
+        groups = [compile_conditions(group, schema, unknown) for group in condition["any_of"]]
         return reduce(lambda a, b: a | b, groups, F.lit(False))
-    return cond_to_column(condition["field"], condition["op"], condition["value"], columns, unknown)
+    return cond_to_column(condition["field"], condition["op"], condition["value"], schema, unknown)
 
 
-def compile_conditions(conditions: list[dict], columns: list[str], unknown: str = "pass") -> Column:
+def compile_conditions(conditions: list[dict], schema: T.StructType, unknown: str = "pass") -> Column:
     """Conjunction of all conditions; an empty list passes."""
-    truths = [_truth(c, columns, unknown) for c in conditions]
+    truths = [_truth(c, schema, unknown) for c in conditions]
     return reduce(lambda a, b: a & b, truths, F.lit(True))
 
 
-def compile_criteria(spec: dict, columns: list[str], unknown: str = "pass") -> Column:
-    return compile_conditions(spec.get("all_of", []), columns, unknown)
+def compile_criteria(spec: dict, schema: T.StructType, unknown: str = "pass") -> Column:
+    """Filter condition of a collection."""
+    return compile_conditions(spec.get("all_of", []), schema, unknown)
 
 
 def condition_text(condition: dict) -> str:
@@ -97,10 +107,13 @@ def condition_text(condition: dict) -> str:
     return f"{condition['field']} {condition['op']} {condition['value']}"
 
 
-def explain_criteria(spec: dict, columns: list[str], unknown: str = "pass") -> Column:
+def explain_criteria(spec: dict, schema: T.StructType, unknown: str = "pass") -> Column:
     """Text of the first failing condition; NULL when all hold."""
     reasons = [
-        F.when(~_truth(c, columns, unknown), F.lit(condition_text(c))) for c in spec.get("all_of", [])
+        F.when(F.coalesce(_truth(c, schema, unknown), F.lit(False)), F.lit(None)).otherwise(
+            F.lit(condition_text(c))
+        )
+        for c in spec.get("all_of", [])
     ]
     return F.coalesce(*reasons, F.lit(None).cast("string"))
 
@@ -114,16 +127,12 @@ def match_collections(metrics: DataFrame, specs: list[dict], unknown: str = "pas
     verdicts = [
         F.struct(
             F.lit(spec["collection_id"]).alias("collection_id"),
-            compile_criteria(spec, metrics.columns, unknown).alias("passed"),
-            explain_criteria(spec, metrics.columns, unknown).alias("reason"),
+            explain_criteria(spec, metrics.schema, unknown).alias("reason"),
         )
         for spec in specs
     ]
-    return metrics.select("*", F.explode(F.array(*verdicts)).alias("_verdict")).select(
-        *metrics.columns,
-        F.col("_verdict.collection_id").alias("collection_id"),
-        F.col("_verdict.passed").alias("passed"),
-        F.col("_verdict.reason").alias("reason"),
+    return metrics.select("*", F.inline(F.array(*verdicts))).withColumn(
+        "passed", F.col("reason").isNull()
     )
 
 
@@ -261,9 +270,7 @@ def collection_bounds(criteria: DataFrame) -> DataFrame:
     plain = criteria.where(F.col("group_no").isNull()).withColumns(
         {
             "_field": norm(F.col("field")),
-            "_int": F.when(
-                to_number(F.col("value")).isNotNull(), to_number(F.col("value")).cast("bigint")
-            ),
+            "_int": to_number(F.col("value")).try_cast("bigint"),
         }
     )
     op, number = F.col("op"), F.col("_int")

@@ -16,14 +16,9 @@ def split_80_20(df: DataFrame, key: str, target: str, train_share: float = 0.8)
     """
     digest = F.md5(F.col(key).cast("string"))
     numbered = ranked(df.withColumn("_digest", digest), [target], [F.asc("_digest"), F.asc(key)], "_rank")
-    sizes = df.groupBy(target).agg(F.count("*").alias("_size"))
-    return (
-        numbered.join(sizes, numbered[target].eqNullSafe(sizes[target]), "left")
-        .drop(sizes[target])
-        .withColumn(
-            "part", F.when(F.col("_rank") <= F.ceil(F.col("_size") * train_share), "train").otherwise("test")
-        )
-        .drop("_digest", "_rank", "_size")
+    trains = F.col("_rank") <= F.ceil(F.col("_rank_total") * train_share)
+    return numbered.withColumn("part", F.when(trains, "train").otherwise("test")).drop(
+        "_digest", "_rank", "_rank_total"
     )
 
 

@@ -60,4 +60,5 @@ def sort_columns(keys: list[tuple[str, str]], tie: str) -> list[Column]:
 
 def preferred_sort(selection: DataFrame, keys: list[tuple[str, str]], tie: str = "dataset_id") -> DataFrame:
     """Rank of each dataset of each collection in the preferred order; ``tie`` must be unique."""
-    return ranked(selection, ["collection_id"], sort_columns(keys, tie), "sort_rank")
+    ranks = ranked(selection, ["collection_id"], sort_columns(keys, tie), "sort_rank")
+    return ranks.drop("sort_rank_total")

@@ -21,6 +21,11 @@ from tablevet.functions.values import DTYPES, canonical_text, kind_of
 
 KEY = ["collection_id", "dataset_id"]
 
+ROWS_SCHEMA = (
+    "collection_id string, dataset_id string, row_id bigint, target_ordinal int, kinds string,"
+    " values array<string>"
+)
+
 COLUMNS_SCHEMA = pa.schema(
     [
         ("collection_id", pa.string()),
