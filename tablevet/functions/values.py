@@ -1,4 +1,4 @@
-"""Kinds of columns, canonical text of values, and grouping keys."""
+"""Kinds of columns, how their values are stored in fleet rows, and grouping keys."""
 
 from __future__ import annotations
 
@@ -6,8 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# One letter per column: a row of a fleet carries its kinds as a short string.
-DTYPES = {"i": "int", "f": "float", "d": "float", "s": "string", "b": "bool", "t": "datetime"}
+# Kind of a column: its type name, and the array of a fleet row that holds its values.
+# u: whole numbers beyond 64 bits signed, d: decimals; both keep every digit as text.
+DTYPES = {"i": "int", "u": "int", "b": "bool", "f": "float", "d": "float", "s": "string", "t": "datetime"}
+STORES = {"i": "longs", "b": "longs", "f": "doubles", "u": "texts", "d": "texts", "s": "texts", "t": "texts"}
+STORE_TYPES = {"longs": "bigint", "doubles": "double", "texts": "string"}
 NUMERIC_DTYPES = ["int", "float"]
 
 INT_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
@@ -39,12 +42,12 @@ def present(value: Column, data_type: T.DataType) -> Column:
     return value
 
 
-def canonical_text(value: Column, data_type: T.DataType) -> Column:
-    """Text that is equal exactly when the values are equal; NULL and NaN give NULL."""
+def stored_sql(name: str, data_type: T.DataType) -> str:
+    """SQL of a column's value in the type of its store; equal exactly when the values are equal."""
+    column = "`" + name.replace("`", "``") + "`"
     if isinstance(data_type, FLOAT_TYPES):
-        value = value.cast("double")
-        data_type = T.DoubleType()
-    return present(value, data_type).cast("string")
+        return f"CASE WHEN NOT isnan({column}) THEN CAST({column} AS DOUBLE) + 0D END"
+    return f"CAST({column} AS {STORE_TYPES[STORES[kind_of(data_type)]]})"
 
 
 def value_key(text: Column) -> Column:
@@ -54,14 +57,16 @@ def value_key(text: Column) -> Column:
     )
 
 
-def row_fingerprint(values: Column) -> list[Column]:
-    """Two 64 bit hashes over the values and their NULL positions, from both ends of the row.
+def as_text(kind: Column, value: Column) -> Column:
+    """Text of a stored whole number or truth value."""
+    return F.when(kind == "b", (value == 1).cast("string")).otherwise(value.cast("string"))
+
+
+def fingerprint_sql(values: list[str], nulls: str) -> str:
+    """SQL of two 64 bit hashes of a row, from both ends; ``nulls`` tells where NULLs are.
 
     Spark's hash skips NULLs, so their positions are hashed too. With 128 bits the odds that any
     two of 10^12 different rows agree are below 10^-14.
     """
-    nulls = F.transform(values, lambda v: v.isNull())
-    return [
-        F.xxhash64(values, nulls).alias("_fp1"),
-        F.xxhash64(nulls, F.reverse(values)).alias("_fp2"),
-    ]
+    forth, back = ", ".join([*values, nulls]), ", ".join([nulls, *reversed(values)])
+    return f"named_struct('a', xxhash64({forth}), 'b', xxhash64({back})) AS fingerprint"

@@ -1,17 +1,19 @@
 """Column and dataset profiles.
 
 One value-count job serves the missing, distinct, class, constant, identifier, type and task
-operators: values are counted per (dataset, column, value), then folded per (dataset, column).
-Both steps aggregate before their shuffle, so a value or dataset that holds a third of all cells
+operators: values are counted per (dataset, column, value), then folded per (dataset, column), each
+store in its own type. Both steps aggregate before their shuffle, so a value or dataset that holds a third of all cells
 arrives as a few partial counts.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablevet.functions.values import NUMERIC_DTYPES, row_fingerprint, value_key
+from tablevet.functions.values import NUMERIC_DTYPES, STORE_TYPES, value_key
 from tablevet.limits import Limits
 from tablevet.sources.fleet import KEY, Fleet
 
@@ -31,22 +33,32 @@ def names_where(condition: Column) -> Column:
 
 def column_profile(fleet: Fleet) -> DataFrame:
     """Rows, missing values, distinct values and value frequencies of every column."""
-    counts = (
-        fleet.rows.select(*KEY, F.posexplode("values").alias("_pos", "value"))
-        .groupBy(*KEY, (F.col("_pos") + 1).alias("ordinal"), value_key(F.col("value")).alias("_key"))
-        .agg(F.count("*").alias("_n"), F.sum(F.octet_length("value")).alias("_bytes"))
-    )
-    found = F.when(F.col("_key").isNotNull(), F.col("_n"))
-    stats = counts.groupBy(*KEY, "ordinal").agg(
-        F.sum("_n").alias("n_rows"),
-        (F.sum("_n") - F.coalesce(F.sum(found), F.lit(0))).alias("n_missing"),
-        F.count("_key").alias("n_unique"),
-        F.min(found).alias("min_count"),
-        F.max(found).alias("max_count"),
-        F.sum("_bytes").alias("text_bytes"),
-    )
-    return fleet.columns.join(stats, [*KEY, "ordinal"], "left").na.fill(
-        0, ["n_rows", "n_missing", "n_unique", "text_bytes"]
+    parts = []
+    for store in STORE_TYPES:
+        texts = store == "texts"
+        key = value_key(F.col("_value")) if texts else F.col("_value")
+        size = F.sum(F.octet_length("_value")) if texts else F.lit(0).cast("bigint")
+        counts = (
+            fleet.rows.select(*KEY, F.posexplode(store).alias("slot", "_value"))
+            .groupBy(*KEY, "slot", key.alias("_key"))
+            .agg(F.count("*").alias("_n"), size.alias("_bytes"))
+        )
+        found = F.when(F.col("_key").isNotNull(), F.col("_n"))
+        parts.append(
+            counts.groupBy(*KEY, F.lit(store).alias("store"), "slot").agg(
+                F.sum("_n").alias("n_rows"),
+                (F.sum("_n") - F.coalesce(F.sum(found), F.lit(0))).alias("n_missing"),
+                F.count("_key").alias("n_unique"),
+                F.min(found).alias("min_count"),
+                F.max(found).alias("max_count"),
+                F.sum("_bytes").alias("text_bytes"),
+            )
+        )
+    stats = reduce(DataFrame.unionByName, parts)
+    return (
+        fleet.columns.join(stats, [*KEY, "store", "slot"], "left")
+        .drop("kind", "store", "slot")
+        .na.fill(0, ["n_rows", "n_missing", "n_unique", "text_bytes"])
     )
 
 
@@ -97,9 +109,7 @@ def p_to_n_ratio(n_features: Column, n_instances: Column) -> Column:
 
 def duplicate_rows(fleet: Fleet) -> DataFrame:
     """Rows beyond the first of each kind; only fingerprints are shuffled, never whole rows."""
-    kinds = (
-        fleet.rows.groupBy(*KEY, *row_fingerprint(F.col("values"))).agg(F.count("*").alias("_n"))
-    )
+    kinds = fleet.rows.groupBy(*KEY, "fingerprint").agg(F.count("*").alias("_n"))
     return kinds.groupBy(*KEY).agg((F.sum("_n") - F.count("*")).alias("duplicate_rows"))
 
 

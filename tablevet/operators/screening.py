@@ -7,82 +7,101 @@ value counts: they fold to minimum and maximum before the second shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablevet.functions.values import NUMERIC_DTYPES, value_key
+from tablevet.functions.values import NUMERIC_DTYPES, STORE_TYPES, value_key
 from tablevet.limits import Limits
 from tablevet.operators.profile import catalog_task, names_where, of_target, share
 from tablevet.session import staged
-from tablevet.sources.fleet import KEY, Fleet
+from tablevet.sources.fleet import KEY, Fleet, target_value_present, with_fingerprint
 
 OUTCOME = [*KEY, "status", "reason"]
 
 
 def drop_missing_target(fleet: Fleet) -> Fleet:
     """Keep the rows whose target is present."""
-    target = F.try_element_at("values", F.col("target_ordinal"))
-    return Fleet(fleet.rows.where(target.isNotNull()), fleet.columns)
+    return Fleet(fleet.rows.where(target_value_present()), fleet.columns)
 
 
 def dedup_rows(fleet: Fleet) -> Fleet:
     """Keep one row of each kind, the first by ``row_id``; NULL equals NULL."""
-    return Fleet(distinct_rows(fleet.rows).drop("copies"), fleet.columns)
+    return Fleet(with_fingerprint(distinct_rows(fleet.rows).drop("copies")), fleet.columns)
 
 
 def distinct_rows(rows: DataFrame) -> DataFrame:
     """Different rows and their number of copies; copies are folded before the shuffle."""
-    return rows.groupBy(*KEY, "target_ordinal", "kinds", "values").agg(
+    return rows.groupBy(*KEY, "target_store", "target_slot", *STORE_TYPES).agg(
         F.min("row_id").alias("row_id"), F.count("*").alias("copies")
     )
 
 
+def staged_distinct(fleet: Fleet) -> DataFrame:
+    """Different rows, written once: the shuffle of whole rows is not repeated for each store's
+    statistics, which then read only their own column of a Parquet table."""
+    distinct = distinct_rows(fleet.rows).withColumn("has_target", target_value_present())
+    return staged(distinct, "distinct-rows")
+
+
 def cleaned_column_stats(distinct: DataFrame, columns: DataFrame) -> DataFrame:
     """Statistics of every column over the rows that have a target, plus the raw row counts."""
-    ordinal = F.col("_pos") + 1
-    cells = distinct.select(
-        *KEY,
-        "copies",
-        "target_ordinal",
-        "kinds",
-        F.try_element_at("values", F.col("target_ordinal")).isNotNull().alias("_kept"),
-        F.posexplode("values").alias("_pos", "value"),
-    )
-    kind = F.substring(F.col("kinds"), ordinal, F.lit(1))
-    folded = (kind == "f") & ~ordinal.eqNullSafe(F.col("target_ordinal"))
-    cells = cells.select(
-        *KEY,
-        ordinal.alias("ordinal"),
-        "copies",
-        F.when(F.col("_kept"), 1).otherwise(0).alias("_n"),
-        F.when(F.col("_kept") & F.col("value").isNull(), 1).otherwise(0).alias("_missing"),
-        F.when(F.col("_kept") & folded, F.col("value").try_cast("double")).alias("_float"),
-        F.when(F.col("_kept") & ~folded, value_key(F.col("value"))).alias("_key"),
-    )
-    counts = cells.groupBy(*KEY, "ordinal", "_key").agg(
-        F.sum("copies").alias("_raw"),
-        F.sum(F.col("copies") * F.col("_n")).alias("_kept_raw"),
-        F.sum("_n").alias("_rows"),
-        F.sum("_missing").alias("_missing"),
-        F.min("_float").alias("_low"),
-        F.max("_float").alias("_high"),
-    )
-    size = F.when(F.col("_key").isNotNull(), F.col("_rows"))
-    stats = counts.groupBy(*KEY, "ordinal").agg(
-        F.sum("_raw").alias("raw_rows"),
-        F.sum("_kept_raw").alias("target_rows"),
-        F.sum("_rows").alias("n_rows"),
-        F.sum("_missing").alias("n_missing"),
-        F.count("_key").alias("n_unique"),
-        F.min(size).alias("min_count"),
-        (F.min("_low") == F.max("_high")).alias("_one_float"),
-    )
-    joined = columns.join(stats, [*KEY, "ordinal"], "left").na.fill(
+    parts = []
+    for store in STORE_TYPES:
+        value = F.when(F.col("has_target"), F.col("_value"))
+        number = F.lit(None).cast("double")
+        key = value_key(value) if store == "texts" else value
+        if store == "doubles":
+            is_target = (F.col("target_store") == store) & (F.col("target_slot") == F.col("slot"))
+            number, key = value, F.when(is_target, value)
+        counts = (
+            distinct.select(
+                *KEY,
+                "copies",
+                "target_store",
+                "target_slot",
+                "has_target",
+                F.posexplode(store).alias("slot", "_value"),
+            )
+            .select(
+                *KEY,
+                "slot",
+                "copies",
+                F.when(F.col("has_target"), 1).otherwise(0).alias("_one"),
+                F.when(value.isNotNull(), 1).otherwise(0).alias("_found"),
+                number.alias("_number"),
+                key.alias("_key"),
+            )
+            .groupBy(*KEY, "slot", "_key")
+            .agg(
+                F.sum("copies").alias("_raw"),
+                F.sum(F.col("copies") * F.col("_one")).alias("_target_raw"),
+                F.sum("_one").alias("_rows"),
+                F.sum("_found").alias("_found"),
+                F.min("_number").alias("_low"),
+                F.max("_number").alias("_high"),
+            )
+        )
+        size = F.when(F.col("_key").isNotNull(), F.col("_rows"))
+        parts.append(
+            counts.groupBy(*KEY, F.lit(store).alias("store"), "slot").agg(
+                F.sum("_raw").alias("raw_rows"),
+                F.sum("_target_raw").alias("target_rows"),
+                F.sum("_rows").alias("n_rows"),
+                (F.sum("_rows") - F.sum("_found")).alias("n_missing"),
+                F.count("_key").alias("n_unique"),
+                F.min(size).alias("min_count"),
+                (F.min("_low") == F.max("_high")).alias("_one_number"),
+            )
+        )
+    stats = reduce(DataFrame.unionByName, parts)
+    joined = columns.join(stats, [*KEY, "store", "slot"], "left").na.fill(
         0, ["raw_rows", "target_rows", "n_rows", "n_missing", "n_unique"]
     )
     return joined.withColumn(
-        "is_constant", (F.col("n_unique") == 1) | F.coalesce("_one_float", F.lit(False))
-    ).drop("_one_float")
+        "is_constant", (F.col("n_unique") == 1) | F.coalesce("_one_number", F.lit(False))
+    ).drop("_one_number")
 
 
 def with_drop_flags(stats: DataFrame, limits: Limits) -> DataFrame:
@@ -127,6 +146,16 @@ def first_failure(limits: Limits) -> Column:
     )
 
 
+def kept_slots(store: str) -> Column:
+    """Places of the kept columns in one store of the dataset's rows."""
+    kept = F.when(F.col("is_kept") & (F.col("store") == store), F.col("slot"))
+    return F.array_sort(F.collect_list(kept)).alias(f"kept_{store}")
+
+
+def picked(store: str, slots: str) -> Column:
+    return F.transform(slots, lambda i: F.get(store, i))
+
+
 def screen_rows(
     distinct: DataFrame, columns: DataFrame, limits: Limits = Limits(), tasks: DataFrame | None = None
 ) -> DataFrame:
@@ -165,7 +194,7 @@ def screen_rows(
         names_where(F.col("is_sparse")).alias("sparse_columns"),
         names_where(F.col("is_constant")).alias("constant_columns"),
         names_where(F.col("is_id")).alias("id_columns"),
-        F.array_sort(F.collect_list(F.when(F.col("is_kept"), F.col("ordinal")))).alias("kept_ordinals"),
+        *[kept_slots(store) for store in STORE_TYPES],
     )
     if tasks is not None:
         given = tasks.select(*KEY, F.col("task").alias("_task"))
@@ -179,7 +208,7 @@ def screen_rows(
 
 def screen(fleet: Fleet, limits: Limits = Limits(), tasks: DataFrame | None = None) -> DataFrame:
     """Screening record of every dataset of the fleet."""
-    return screen_rows(distinct_rows(fleet.rows), fleet.columns, limits, tasks)
+    return screen_rows(staged_distinct(fleet), fleet.columns, limits, tasks)
 
 
 def cleaning_report(screened: DataFrame) -> DataFrame:
@@ -230,32 +259,45 @@ def gate_outcomes(
 def clean_fleet(fleet: Fleet, limits: Limits = Limits(), tasks: DataFrame | None = None) -> Fleet:
     """Cleaned rows and columns of the validated datasets.
 
-    The different rows are staged, so the shuffle of whole rows runs once for both the statistics
-    and the output. The per-dataset record is joined by key: Spark broadcasts it when it is small
-    and splits skewed datasets when not.
+    The statistics and the output read the same staged rows. The per-dataset record is joined by
+    key: Spark broadcasts it when it is small and splits skewed datasets when not.
     """
-    distinct = staged(distinct_rows(fleet.rows), "distinct-rows")
+    distinct = staged_distinct(fleet)
+    kept = {store: f"kept_{store}" for store in STORE_TYPES}
     passed = (
         screen_rows(distinct, fleet.columns, limits, tasks)
         .where(F.col("status") == "validated")
-        .select(*KEY, "kept_ordinals")
+        .select(*KEY, *kept.values())
     )
-    target = F.col("target_ordinal")
-    rows = (
-        distinct.where(F.try_element_at("values", target).isNotNull())
-        .join(passed, KEY)
-        .select(
-            *KEY,
-            "row_id",
-            F.array_position("kept_ordinals", target).cast("int").alias("target_ordinal"),
-            F.array_join(
-                F.transform("kept_ordinals", lambda i: F.col("kinds").substr(i, F.lit(1))), ""
-            ).alias("kinds"),
-            F.transform("kept_ordinals", lambda i: F.element_at("values", i)).alias("values"),
-        )
+    joined = distinct.where("has_target").join(passed, KEY)
+    new_slot = F.lit(None).cast("bigint")
+    for store, slots in kept.items():
+        here = F.array_position(slots, F.col("target_slot")) - 1
+        new_slot = F.when(F.col("target_store") == store, here).otherwise(new_slot)
+    rows = joined.select(
+        *KEY,
+        "row_id",
+        "target_store",
+        new_slot.cast("int").alias("target_slot"),
+        *[picked(store, slots).alias(store) for store, slots in kept.items()],
     )
-    kept = passed.select(*KEY, F.posexplode("kept_ordinals").alias("_pos", "ordinal"))
-    columns = fleet.columns.join(kept, [*KEY, "ordinal"]).select(
-        *KEY, (F.col("_pos") + 1).alias("ordinal"), "column_name", "dtype", "is_target"
+    places = reduce(
+        DataFrame.unionByName,
+        [
+            passed.select(*KEY, F.lit(store).alias("store"), F.explode(slots).alias("slot"))
+            for store, slots in kept.items()
+        ],
+    )
+    in_table = Window.partitionBy(*KEY).orderBy("ordinal")
+    in_store = Window.partitionBy(*KEY, "store").orderBy("ordinal")
+    columns = fleet.columns.join(places, [*KEY, "store", "slot"]).select(
+        *KEY,
+        F.row_number().over(in_table).alias("ordinal"),
+        "column_name",
+        "dtype",
+        "is_target",
+        "kind",
+        "store",
+        (F.row_number().over(in_store) - 1).alias("slot"),
     )
-    return Fleet(rows, columns)
+    return Fleet(with_fingerprint(rows), columns)

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tablevet.sources.fleet import Fleet, fleet_of, to_fleet
 
@@ -48,8 +51,14 @@ SPECS = [
 ]
 
 
+@cache
+def table_schema(sf_dir: str, table: str) -> StructType:
+    """Read from the file once; later scans skip the footer job."""
+    return SparkSession.active().read.parquet(f"{sf_dir}/{table}.parquet").schema
+
+
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return spark.read.schema(table_schema(sf_dir, table)).parquet(f"{sf_dir}/{table}.parquet")
 
 
 def listing(spark: SparkSession, sf_dir: str) -> DataFrame:

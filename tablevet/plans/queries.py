@@ -350,7 +350,7 @@ def dedup_rows(spark, sf_dir):
 
 def dirty_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     fleet = whole_fleet(spark, sf_dir)
-    stats = screening.cleaned_column_stats(screening.distinct_rows(fleet.rows), fleet.columns)
+    stats = screening.cleaned_column_stats(screening.staged_distinct(fleet), fleet.columns)
     return screening.with_drop_flags(stats, Limits())
 
 
@@ -573,7 +573,8 @@ def gate_outcomes_ledger(spark, sf_dir):
 @query
 def screening_record(spark, sf_dir):
     lists = ["sparse_columns", "constant_columns", "id_columns"]
-    record = screening.screen(whole_fleet(spark, sf_dir), LARGE).drop("kept_ordinals")
+    record = screening.screen(whole_fleet(spark, sf_dir), LARGE)
+    record = record.drop("kept_longs", "kept_doubles", "kept_texts")
     return record.select(*[listed(c) if c in lists else c for c in record.columns])
 
 

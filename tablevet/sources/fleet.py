@@ -1,11 +1,13 @@
 """The fleet: many tables with different schemas in one pair of DataFrames.
 
-``rows``     collection_id, dataset_id, row_id, target_ordinal, kinds, values
-``columns``  collection_id, dataset_id, ordinal, column_name, dtype, is_target
-
-A row keeps its values together as canonical texts, so row-level work (missing targets, duplicates)
-needs no regrouping, and names stay out of the shuffles: they are joined to per-column results. The
-kind letters travel with the row because a join on the dataset would move every row once more.
+``rows``     collection_id, dataset_id, row_id, target_store, target_slot, longs, doubles, texts,
+             fingerprint
+``columns``  collection_id, dataset_id, ordinal, column_name, dtype, is_target, kind, store, slot
+
+A row keeps its values together, typed, in one array per store, so row-level work (missing targets,
+duplicates) needs no regrouping. Names and types stay out of the shuffles: ``columns`` is joined to
+per-column results by (store, slot). The place of the target travels with the row, because a join
+on the dataset would move every row once more.
 """
 
 from __future__ import annotations
@@ -14,16 +16,24 @@ from dataclasses import dataclass
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablevet.functions.values import DTYPES, canonical_text, kind_of
+from tablevet.functions.values import (
+    DTYPES,
+    STORE_TYPES,
+    STORES,
+    as_text,
+    fingerprint_sql,
+    kind_of,
+    stored_sql,
+)
 
 KEY = ["collection_id", "dataset_id"]
 
 ROWS_SCHEMA = (
-    "collection_id string, dataset_id string, row_id bigint, target_ordinal int, kinds string,"
-    " values array<string>"
+    "collection_id string, dataset_id string, row_id bigint, target_store string, target_slot int,"
+    " longs array<bigint>, doubles array<double>, texts array<string>"
 )
 
 COLUMNS_SCHEMA = pa.schema(
@@ -34,6 +44,9 @@ COLUMNS_SCHEMA = pa.schema(
         ("column_name", pa.string()),
         ("dtype", pa.string()),
         ("is_target", pa.bool_()),
+        ("kind", pa.string()),
+        ("store", pa.string()),
+        ("slot", pa.int32()),
     ]
 )
 
@@ -61,9 +74,20 @@ def skipped_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if not kind_of(f.dataType)]
 
 
-def column_table(spark: SparkSession, records: list[dict]) -> DataFrame:
-    """The ``columns`` side from schemas the driver knows."""
-    return spark.createDataFrame(pa.Table.from_pylist(records, schema=COLUMNS_SCHEMA))
+def with_fingerprint(rows: DataFrame) -> DataFrame:
+    """Rows of :data:`ROWS_SCHEMA` with their fingerprint; not computed unless it is used."""
+    stores = list(STORE_TYPES)
+    nulls = "concat(" + ", ".join(f"transform({s}, v -> isnull(v))" for s in stores) + ")"
+    return rows.selectExpr("*", fingerprint_sql(stores, nulls))
+
+
+def target_value_present() -> Column:
+    """Whether the target of a fleet row is there; false for a dataset without a target."""
+    found = F.lit(False)
+    for store in STORE_TYPES:
+        here = F.get(store, F.col("target_slot")).isNotNull()
+        found = F.when(F.col("target_store") == store, here).otherwise(found)
+    return found
 
 
 def to_fleet(
@@ -71,30 +95,44 @@ def to_fleet(
 ) -> Fleet:
     """One table as a fleet of one; the target is the last flat column unless named."""
     fields = flat_fields(df)
-    names = [f.name for f in fields]
-    target = names[-1] if target is None and names else target
-    ordinal = names.index(target) + 1 if target in names else None
-    kinds = "".join(kind_of(f.dataType) for f in fields)
-    rows = df.select(
+    if target is None and fields:
+        target = fields[-1].name
+    held: dict[str, list[str]] = {store: [] for store in STORE_TYPES}
+    records = []
+    for i, field in enumerate(fields):
+        kind = kind_of(field.dataType)
+        store = STORES[kind]
+        records.append(
+            {
+                "collection_id": collection_id,
+                "dataset_id": dataset_id,
+                "ordinal": i + 1,
+                "column_name": field.name,
+                "dtype": DTYPES[kind],
+                "is_target": field.name == target,
+                "kind": kind,
+                "store": store,
+                "slot": len(held[store]),
+            }
+        )
+        held[store].append(stored_sql(field.name, field.dataType))
+    place = next((r for r in records if r["is_target"]), {"store": None, "slot": None})
+    values = [v for store in held.values() for v in store]
+    nulls = "concat('', " + ", ".join(f"if(isnull({v}), '1', '0')" for v in values) + ")"
+    arrays = [
+        f"CAST(array({', '.join(held[store])}) AS array<{t}>) AS {store}" for store, t in STORE_TYPES.items()
+    ]
+    rows = df.selectExpr(*arrays, fingerprint_sql(values, nulls)).select(
         F.lit(collection_id).alias("collection_id"),
         F.lit(dataset_id).alias("dataset_id"),
         F.monotonically_increasing_id().alias("row_id"),
-        F.lit(ordinal).cast("int").alias("target_ordinal"),
-        F.lit(kinds).alias("kinds"),
-        F.array(*[canonical_text(F.col(f"`{f.name}`"), f.dataType) for f in fields]).alias("values"),
+        F.lit(place["store"]).cast("string").alias("target_store"),
+        F.lit(place["slot"]).cast("int").alias("target_slot"),
+        *STORE_TYPES,
+        "fingerprint",
     )
-    records = [
-        {
-            "collection_id": collection_id,
-            "dataset_id": dataset_id,
-            "ordinal": i + 1,
-            "column_name": f.name,
-            "dtype": DTYPES[kind_of(f.dataType)],
-            "is_target": f.name == target,
-        }
-        for i, f in enumerate(fields)
-    ]
-    return Fleet(rows, column_table(df.sparkSession, records))
+    columns = df.sparkSession.createDataFrame(pa.Table.from_pylist(records, schema=COLUMNS_SCHEMA))
+    return Fleet(rows, columns)
 
 
 def fleet_of(tables: list[Fleet]) -> Fleet:
@@ -102,11 +140,15 @@ def fleet_of(tables: list[Fleet]) -> Fleet:
 
 
 def to_cells(fleet: Fleet) -> DataFrame:
-    """One row per value, with its column's name and type."""
-    cells = fleet.rows.select(*KEY, "row_id", F.posexplode("values").alias("_pos", "value")).select(
-        *KEY, "row_id", (F.col("_pos") + 1).alias("ordinal"), "value"
-    )
-    names = fleet.columns.select(*KEY, "ordinal", "column_name", "dtype")
-    return cells.join(names, [*KEY, "ordinal"]).select(
-        *KEY, "row_id", "ordinal", "column_name", "dtype", "value"
-    )
+    """One row per value as text, with its column's name and type."""
+    names = fleet.columns.select(*KEY, "store", "slot", "ordinal", "column_name", "dtype", "kind")
+    parts = []
+    for store in STORE_TYPES:
+        cells = fleet.rows.select(*KEY, "row_id", F.posexplode(store).alias("slot", "value"))
+        text = as_text(F.col("kind"), F.col("value")) if store == "longs" else F.col("value").cast("string")
+        parts.append(
+            cells.join(names.where(F.col("store") == store), [*KEY, "slot"]).select(
+                *KEY, "row_id", "ordinal", "column_name", "dtype", text.alias("value")
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
