@@ -113,7 +113,7 @@ def raw_sink(spark, sf_dir):
     customer = load(spark, sf_dir, "customer")
     root = scratch_path(spark, "raw")
     sinks.write_raw(customer, root, "tables", "customer")
-    return spark.read.schema(customer.schema).csv(f"{root}/tables/customer", header=True)
+    return spark.read.schema(customer.schema).csv(f"{root}/tables/customer", header=True, escape='"')
 
 
 def cataloged(spark: SparkSession, sf_dir: str, fleet: Fleet) -> DataFrame:
