@@ -200,15 +200,17 @@ def condition_holds(op: Column, actual: Column, value: Column, numeric_field: Co
 
 
 def match_criteria_table(
-    metrics: DataFrame, criteria: DataFrame, key: list[str], salts: int = 16
+    metrics: DataFrame, criteria: DataFrame, key: list[str], salts: int | None = None
 ) -> DataFrame:
     """Verdict of every dataset for every collection of a criteria table of any size.
 
     Metrics are turned to (dataset, field, value) and equi-joined to the conditions on the field.
-    There are few fields, so each is spread over ``salts`` sub-keys, on which the conditions are
-    repeated. Every collection gets one condition on the key, which always holds, so that
+    There are few fields, so each is spread over ``salts`` sub-keys (as many as shuffle partitions
+    by default), on which the conditions are repeated. Every collection gets one condition on the key, which always holds, so that
     collections without (known) conditions pass too.
     """
+    if salts is None:
+        salts = int(metrics.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     fields = [c for c in metrics.columns if c not in key]
     salt = F.pmod(F.xxhash64(*key), F.lit(salts)).cast("int")
     entries = [F.lit("").alias("field"), F.lit("").alias("actual")]
