@@ -1,0 +1,187 @@
+"""Secret scans through an incremental blob ledger, in DataFrame functions only.
+
+Every text is a blob, addressed by its SHA-256. The ledger has one row per scan of a blob: the rules
+(kind and version) that ran and the spans they found. A run reads the ledger, scans only pairs of blob
+and rule version that it lacks, appends them, and joins the findings back to all rows by address.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tablevet.llm.common import join_by_size
+from tablevet.session import scratch_path, staged
+
+
+@dataclass(frozen=True)
+class Rule:
+    """Leftmost, non-overlapping matches of ``pattern``; those whose ``group`` is shorter than
+    ``least`` are dropped after matching. A new version makes every blob unseen for this rule."""
+
+    kind: str
+    pattern: str
+    group: int = 0
+    least: int = 1
+    version: int = 1
+
+    @property
+    def name(self) -> str:
+        return f"{self.kind}@{self.version}"
+
+
+# Base patterns, then formats of public token families.
+BASE_RULES = (
+    Rule(
+        "assign",
+        "(?i)(password|passwd|secret|token|api_?key)[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)",
+        group=2,
+        least=6,
+    ),
+    Rule("access", "AKIA[A-Z0-9]+", least=20),
+    Rule("hex", "[0-9a-f]{24,}", least=24),
+)
+RULES = (
+    *BASE_RULES,
+    Rule("pem", "-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("github", "gh[pousr]_[A-Za-z0-9]{36,}"),
+    Rule("slack", "xox[abprs]-[A-Za-z0-9-]{10,}"),
+    Rule("jwt", "eyJ[A-Za-z0-9_-]{8,}\\.eyJ[A-Za-z0-9_-]{8,}\\.[A-Za-z0-9_-]+"),
+)
+
+SPAN = "struct<start:int,kind_no:int,kind:string,end:int>"
+LEDGER = "blob binary, rules array<string>, spans array<struct<start:int,kind_no:int,kind:string,end:int>>"
+
+
+def address(text: Column) -> Column:
+    return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
+
+
+def spans_of(text: Column, rule: Rule, number: int) -> Column:
+    """Spans of a rule in code points. The gaps between matches and the matches themselves give the
+    places, so the text is searched once where nothing matches."""
+    found = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
+    value = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group))
+    gaps = F.split(text, rule.pattern, -1)
+    pieces = F.arrays_zip(
+        F.transform(gaps, F.length).alias("gap"),
+        F.transform(found, F.length).alias("hit"),
+        F.transform(value, F.length).alias("value"),
+    )
+    begin = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("out"))
+
+    def step(state: Column, piece: Column) -> Column:
+        start = state["at"] + piece["gap"]
+        end = start + piece["hit"]
+        span = F.struct(
+            start.alias("start"), F.lit(number).alias("kind_no"), F.lit(rule.kind).alias("kind"), end.alias("end")
+        )
+        kept = piece["hit"].isNotNull() & (piece["value"] >= rule.least)
+        out = F.when(kept, F.concat(state["out"], F.array(span))).otherwise(state["out"])
+        return F.struct(F.coalesce(end, start).alias("at"), out.alias("out"))
+
+    places = F.aggregate(pieces, begin, step, lambda state: state["out"])
+    return F.when(F.size(found) > 0, places).otherwise(F.array().cast(f"array<{SPAN}>"))
+
+
+def ledger_table(spark: SparkSession, path: str) -> DataFrame:
+    """The ledger at ``path``, empty where there is none yet."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    exists = where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+    if exists:
+        return spark.read.schema(LEDGER).parquet(path)
+    return spark.createDataFrame([], T._parse_datatype_string(LEDGER))
+
+
+def scan_unseen(blobs: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """New ledger rows for ``blobs`` (blob, text: one row per blob) that lack some rule."""
+    names = F.array(*[F.lit(r.name) for r in rules])
+    done = ledger.groupBy("blob").agg(F.flatten(F.collect_set("rules")).alias("done"))
+    missing = F.array_except(names, F.coalesce("done", F.array().cast("array<string>")))
+    open_ = blobs.join(done, "blob", "left").select("blob", "text", missing.alias("rules")).where("size(rules) > 0")
+    none = F.array().cast(f"array<{SPAN}>")
+    found = [
+        F.when(F.array_contains("rules", r.name), spans_of(F.col("text"), r, i)).otherwise(none)
+        for i, r in enumerate(rules)
+    ]
+    return open_.select("blob", "rules", F.concat(*found).alias("spans"))
+
+
+def scan(
+    docs: DataFrame, ledger_path: str, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """(doc_id, blob, spans) of every row of ``docs``, and the ledger brought up to date.
+
+    Null texts are empty, null and repeated ids are rows like others, and only the two columns are
+    read. Copies of a text fold before the shuffle and are scanned once, whatever their number.
+    """
+    spark = docs.sparkSession
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    paths = staged(docs.select(F.col(id_col).alias("doc_id"), address(text).alias("blob")), "paths")
+    blobs = docs.select(address(text).alias("blob"), text.alias("text")).dropDuplicates(["blob"])
+    scan_unseen(blobs, ledger_table(spark, ledger_path), rules).write.mode("append").parquet(ledger_path)
+
+    counts = paths.groupBy("blob").agg(F.count(F.lit(1)).alias("n"))
+    current = F.array(*[F.lit(r.name) for r in rules])
+    numbers = {r.kind: i for i, r in enumerate(rules)}
+    spans = (
+        ledger_table(spark, ledger_path)
+        .where(F.arrays_overlap("rules", current) & (F.size("spans") > 0))
+        .groupBy("blob")
+        .agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
+    )
+    spans = spans.select("blob", F.filter("spans", lambda s: s["kind"].isin(list(numbers))).alias("spans"))
+    findings = staged(spans.join(counts, "blob"), "findings")
+    out = join_by_size(paths, findings, "blob", "n", paths.count())
+    return out.select("doc_id", "blob", F.coalesce("spans", F.array().cast(f"array<{SPAN}>")).alias("spans"))
+
+
+def joined(spans: Column) -> Column:
+    text = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
+    return F.array_join(text, ",")
+
+
+def secret_report(docs: DataFrame, ledger_path: str | None = None) -> DataFrame:
+    """Counts and spans of the base rules, and the spans of all rules, for every row."""
+    path = ledger_path or scratch_path(docs.sparkSession, "ledger")
+    base = [r.kind for r in BASE_RULES]
+    s = F.col("spans")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(s, lambda x: x["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return scan(docs, path).select(
+        "doc_id",
+        *[count(k) for k in base],
+        F.sha2(joined(F.filter(s, lambda x: x["kind"].isin(base))), 256).alias("base_sha256"),
+        joined(s).alias("spans"),
+    )
+
+
+def keep_clean(docs: DataFrame, rules: tuple[Rule, ...] = RULES, ledger_path: str | None = None) -> DataFrame:
+    """``docs`` with the secret part of every span masked by asterisks, all rows and columns.
+
+    Only texts with a finding are rewritten. They are named by content address, so the join takes
+    the few addresses with findings; texts without one keep every character.
+    """
+    path = ledger_path or scratch_path(docs.sparkSession, "ledger")
+    found = scan(docs, path, rules).where("size(spans) > 0").select("blob", "spans").dropDuplicates(["blob"])
+    return mask(docs, staged(found, "found"))
+
+
+def mask(docs: DataFrame, found: DataFrame) -> DataFrame:
+    keyed = docs.withColumn("_blob", address(F.col("text")))
+    named = keyed.join(found.select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans")), "_blob", "left")
+    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+
+    def step(state: Column, s: Column) -> Column:
+        start, end = F.greatest(s["start"], state["at"]), F.greatest(s["end"], state["at"])
+        before = F.substr(F.col("text"), state["at"] + 1, start - state["at"])
+        return F.struct(end.alias("at"), F.concat(state["out"], before, F.repeat(F.lit("*"), end - start)).alias("out"))
+
+    rest = lambda state: F.concat(state["out"], F.substr(F.col("text"), state["at"] + 1))
+    masked = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(F.aggregate("_spans", begin, step, rest))
+    return named.select(*[masked.alias(c) if c == "text" else F.col(c) for c in docs.columns])
