@@ -10,14 +10,14 @@ from tools.check import compare
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(contract.REGISTRY))
 def test_query_matches_sql(spark, name):
     ok, detail = compare(spark, SF_DIR, name)
     assert ok, detail
 
 
 def test_every_query_has_sql():
-    assert set(contract.oracle_sql()) == set(contract.queries())
+    assert set(contract.ORACLE) == set(contract.REGISTRY)
 
 
 def test_entry(spark):
