@@ -7,7 +7,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablevet.llm import bpe, decision_list, exact_dedup, packing, secrets, simhash
+from tablevet.llm import (
+    bpe,
+    decision_list,
+    exact_dedup,
+    factorization,
+    link_trust,
+    packing,
+    secret_ledger,
+    simhash,
+    suffix_dedup,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -31,6 +42,11 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@query
+def op1_quality_classifier(spark, sf_dir):
+    return factorization.quality_scores(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
 @query
 def op2_exact_dedup(spark, sf_dir):
     return exact_dedup.dedup_report(load(spark, sf_dir, "documents"))
@@ -46,6 +62,11 @@ def op4_best_fit_packing(spark, sf_dir):
     return packing.pack(load(spark, sf_dir, "documents"), vocabulary())
 
 
+@query
+def op5_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.suffix_report(load(spark, sf_dir, "documents"))
+
+
 @query
 def op6_bpe_round_trip(spark, sf_dir):
     return bpe.round_trip_report(load(spark, sf_dir, "documents"), vocabulary())
@@ -53,7 +74,12 @@ def op6_bpe_round_trip(spark, sf_dir):
 
 @query
 def op7_secret_scan(spark, sf_dir):
-    return secrets.secret_report(load(spark, sf_dir, "documents"))
+    return secret_ledger.secret_report(load(spark, sf_dir, "documents"))
+
+
+@query
+def op8_toxicity(spark, sf_dir):
+    return toxicity.toxicity(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
 
 
 @query
@@ -61,6 +87,11 @@ def op9_simhash(spark, sf_dir):
     return simhash.near_duplicate_report(load(spark, sf_dir, "documents"))
 
 
+@query
+def op10_url_filter(spark, sf_dir):
+    return link_trust.filter_urls(load(spark, sf_dir, "pages"))
+
+
 ORACLE = {
     "op2_exact_dedup": """
         WITH d AS (
