@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablevet.llm import decision_list, exact_dedup, packing, secrets, simhash
+from tablevet.llm import decision_list, exact_dedup, packing, secret_ledger, simhash
 from tablevet.llm.queries import load, vocabulary
 from tablevet.session import staged
 
@@ -36,7 +36,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Masks every secret; all rows stay."""
-    return secrets.keep_clean(docs)
+    return secret_ledger.keep_clean(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
