@@ -39,26 +39,39 @@ def _byte_values(vocabulary: dict[str, int]) -> list[bytes]:
     return out
 
 
-class Codec:
+class Spelling:
+    """The bytes of all tokens of a tokenizer file."""
+
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as file:
+            content = json.load(file)
+        self.special = [t["content"].encode() for t in content["added_tokens"]]
+        self.vocabulary = content["model"]["vocab"]
+        self.tokens = _byte_values(self.vocabulary | {t["content"]: t["id"] for t in content["added_tokens"]})
+        self.sizes = np.array([len(t) for t in self.tokens], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.bytes = np.frombuffer(b"".join(self.tokens), np.uint8)
+
+    def decode(self, ids: np.ndarray) -> np.ndarray:
+        """The bytes that the ids spell."""
+        sizes = self.sizes[ids]
+        to = np.cumsum(sizes) - sizes
+        return self.bytes[np.repeat(self.starts[ids] - to, sizes) + np.arange(sizes.sum())]
+
+
+class Codec(Spelling):
     """A tokenizer file with its table of words. One per Python worker and file."""
 
     def __init__(self, path: str):
+        super().__init__(path)
         import tiktoken
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        with open(path, encoding="utf-8") as file:
-            model = json.load(file)["model"]
-        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        tokens = _byte_values(model["vocab"] | self.tokenizer.get_vocab(with_added_tokens=True))
-        self.tokens = tokens
-        self.sizes = np.array([len(t) for t in tokens], np.int64)
-        self.starts = np.cumsum(self.sizes) - self.sizes
-        self.bytes = np.frombuffer(b"".join(tokens), np.uint8)
         pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"  # fixed value
-        ranks = {tokens[i]: i for t, i in model["vocab"].items() if tokens[i] not in self.special}
+        ranks = {self.tokens[i]: i for i in self.vocabulary.values() if self.tokens[i] not in self.special}
         # The same vocabulary without offsets, for many short words at once.
         self.fast = tiktoken.Encoding("words", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.clear()
@@ -242,12 +255,6 @@ class Codec:
                 return np.concatenate([left[:a], middle, right[b:]])
             window *= 2
 
-    def decode(self, ids: np.ndarray) -> np.ndarray:
-        """The bytes that the ids spell."""
-        sizes = self.sizes[ids]
-        to = np.cumsum(sizes) - sizes
-        return self.bytes[np.repeat(self.starts[ids] - to, sizes) + np.arange(sizes.sum())]
-
 
 _RANGE = np.arange(256)
 _ASCII_LETTER = ((_RANGE | 0x20) >= 0x61) & ((_RANGE | 0x20) <= 0x7A) & (_RANGE < 0x80)
@@ -262,6 +269,11 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
+@lru_cache(maxsize=2)
+def spelling(path: str) -> Spelling:
+    return Spelling(path)
+
+
 def id_lists(ids: np.ndarray, counts: np.ndarray) -> pa.Array:
     offsets = np.append(0, np.cumsum(counts)).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids.astype(np.int32)))
@@ -289,7 +301,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            own = codec(path)
+            own = spelling(path)
             lists = rows.column("ids").fill_null([])
             flat = lists.flatten().to_numpy()
             ends = np.cumsum(own.sizes[flat])

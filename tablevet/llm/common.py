@@ -9,6 +9,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,22 +44,21 @@ def in_test_fold(doc_id: Column) -> Column:
 
 
 def text_slices(
-    batches: Iterator[pa.RecordBatch], column: str = "text", most: int = 1 << 20
+    batches: Iterator[pa.RecordBatch], column: str = "text", most: int = 1 << 18
 ) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Row slices of about ``most`` bytes of text, with the texts as UTF-8; null is empty.
 
     A text longer than ``most`` is a slice by itself, so memory follows the longest text.
     """
     for batch in batches:
-        texts = [t or b"" for t in batch.column(column).cast(pa.binary()).to_pylist()]
-        start = size = 0
-        for i, text in enumerate(texts):
-            if size and size + len(text) > most:
-                yield batch.slice(start, i - start), texts[start:i]
-                start, size = i, 0
-            size += len(text)
-        if start < len(texts):
-            yield batch.slice(start), texts[start:]
+        sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+        total = np.append(0, np.cumsum(sizes, dtype=np.int64))
+        start = 0
+        while start < len(sizes):
+            stop = max(start + 1, int(np.searchsorted(total, total[start] + most, side="right")) - 1)
+            rows = batch.slice(start, stop - start)
+            yield rows, [t or b"" for t in rows.column(column).cast(pa.binary()).to_pylist()]
+            start = stop
 
 
 _POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
@@ -67,7 +67,7 @@ _POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first ``n`` powers of BASE and of its inverse, modulo 2**64."""
     if len(_POWERS[0]) < n:
-        size = max(n, 1 << 21)
+        size = max(n, 1 << 19)
         for k, factor in enumerate((BASE, BASE_INVERSE)):
             steps = np.full(size, np.uint64(factor))
             steps[0] = 1
