@@ -19,6 +19,7 @@ def norm(text: Column) -> Column:
 
 def sanitize_name(name: Column) -> Column:
     """Folder-safe name; word characters are Unicode letters, digits and ``_``."""
+    # The patterns, since folder names must match.
     joined = F.regexp_replace(norm(name), r"(?U)[\s\-()]+", "_")
     words = F.regexp_replace(joined, r"(?U)[^\w]", "")
     return F.trim(F.regexp_replace(words, "_+", "_"), F.lit("_"))

@@ -71,7 +71,7 @@ def cond_to_column(field: str, op: str, value, schema: T.StructType, unknown: st
     if op in ("==", "!=") and field not in NUMERIC_FIELDS:
         return COMPARE[op](F.lower(column.cast("string")), F.lower(F.lit(str(value))))
     if not isinstance(schema[field].dataType, T.NumericType):
-        column = column.cast("string").try_cast("double")
+        column = to_number(column.cast("string"))
     if op == "between":
         low, high = value
         return column.between(number_or_none(low), number_or_none(high))
@@ -180,8 +180,7 @@ def coerce_criteria(criteria: DataFrame) -> DataFrame:
 
 def condition_holds(op: Column, actual: Column, value: Column, numeric_field: Column) -> Column:
     """Row-wise form of :func:`cond_to_column`, over texts."""
-    number, bound = actual.try_cast("double"), to_number(value)
-    number = F.when(~F.isnan(number), number)
+    number, bound = to_number(actual), to_number(value)
     text, wanted = F.lower(actual), F.lower(unquote(value))
     parts = F.split(value, ",")
     low, high = to_number(F.get(parts, F.lit(0))), to_number(F.get(parts, F.lit(1)))
@@ -236,8 +235,17 @@ def match_criteria_table(
         F.lit("==").alias("op"),
         F.lit("").alias("value"),
     )
-    known = criteria.where(F.col("field").isin(fields)).select(always.columns)
-    spread = known.unionByName(always).withColumn(
+    # A condition on an unknown field holds, inside a group as well, so it asks what always holds.
+    known = F.col("field").isin(fields)
+    asked = criteria.select(
+        "collection_id",
+        "cond_no",
+        "group_no",
+        F.when(known, F.col("field")).otherwise("").alias("field"),
+        F.when(known, F.col("op")).otherwise("==").alias("op"),
+        F.when(known, F.col("value")).otherwise("").alias("value"),
+    )
+    spread = asked.unionByName(always).withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     )
     holds = condition_holds(

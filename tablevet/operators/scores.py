@@ -67,24 +67,25 @@ def classification_scores(df: DataFrame, group: str, label: str, prediction: str
 def roc_auc(df: DataFrame, group: str, label: str, score: str) -> DataFrame:
     """Area under the ROC curve by rank sum, ties at half; ``label`` is 0 or 1.
 
-    NULL when a group has one class only.
+    NULL when a group has one class only. Rows without a score or label have no rank and are left out.
     """
-    counts = df.groupBy(group, score).agg(
+    known = df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
+    counts = known.groupBy(group, score).agg(
         F.sum(F.col(label).cast("bigint")).alias("_pos"),
         F.sum(1 - F.col(label).cast("bigint")).alias("_neg"),
     )
     placed = running_sums(counts, [group], [F.asc(score)], {"_neg_to_here": "_neg"})
     pairs = (F.col("_neg_to_here") - F.col("_neg") / 2) * F.col("_pos")
     totals = placed.groupBy(group).agg(
-        F.sum(pairs).alias("_won"), (F.sum("_pos") * F.sum("_neg")).alias("_all")
+        F.sum(pairs).alias("_won"), (F.sum("_pos").cast("double") * F.sum("_neg")).alias("_all")
     )
     return totals.select(group, share(F.col("_won"), F.col("_all")).alias("auc"))
 
 
 def regression_scores(df: DataFrame, group: str, label: str, prediction: str) -> DataFrame:
-    """R2, RMSE and MAE; R2 is NULL where the label is constant."""
+    """R2, RMSE and MAE over rows with both values; R2 is NULL where the label is constant."""
     error = F.col(label) - F.col(prediction)
-    sums = df.groupBy(group).agg(
+    sums = df.where(error.isNotNull()).groupBy(group).agg(
         F.avg(error * error).alias("_mse"),
         F.avg(F.abs(error)).alias("mae"),
         F.var_pop(label).alias("_var"),

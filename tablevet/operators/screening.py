@@ -269,6 +269,8 @@ def clean_fleet(fleet: Fleet, limits: Limits = Limits(), tasks: DataFrame | None
         .where(F.col("status") == "validated")
         .select(*KEY, *kept.values())
     )
+    # One small row per dataset, used for rows and columns: stored, its size is known to Spark.
+    passed = staged(passed, "passed")
     joined = distinct.where("has_target").join(passed, KEY)
     new_slot = F.lit(None).cast("bigint")
     for store, slots in kept.items():

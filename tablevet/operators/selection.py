@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,9 +31,24 @@ OUTPUT_FIELDS = [
 ]
 
 
+BARE_VALUE = re.compile(r"(==|!=|=|<>)(\s*)([A-Za-z_]\w*)(?![\w(.])")
+
+
+def quote_bare(expression: str, columns: list[str]) -> str:
+    """Quote words that stand as values without quotes; columns and constants stay as they are."""
+    known = {c.lower() for c in columns} | {"true", "false", "null"}
+
+    def quoted(match: re.Match) -> str:
+        op, gap, word = match.groups()
+        return match[0] if word.lower() in known else f"{op}{gap}'{word}'"
+
+    parts = re.split(r"('[^']*'|\"[^\"]*\")", expression)
+    return "".join(p if i % 2 else BARE_VALUE.sub(quoted, p) for i, p in enumerate(parts))
+
+
 def select_where(catalog: DataFrame, expression: str) -> DataFrame:
-    """Rows that meet a text condition, read by Spark's own SQL parser."""
-    return catalog.where(F.expr(expression))
+    """Rows that meet a text condition, read by Spark's own SQL parser; values may lack quotes."""
+    return catalog.where(F.expr(quote_bare(expression, catalog.columns)))
 
 
 def output_fields(catalog: DataFrame, fields: list[str] = OUTPUT_FIELDS) -> DataFrame:

@@ -373,6 +373,7 @@ LEFT JOIN (SELECT collection_id, dataset_id, n_instances FROM {MIXED_ENTRIES}) U
     "filter_expr": f"""SELECT dataset_id FROM {METRICS} WHERE task = 'classification'
   AND task_subtype = 'binary' AND missing_rate <= 0.05 AND n_instances >= 500 AND n_instances <= 10000
   AND n_features >= 5 AND n_features <= 100""",
+    "filter_expr_bare": f"SELECT dataset_id FROM {METRICS} WHERE task = 'classification'",
     "filter_reason": f"SELECT dataset_id, {_reason('multiclass_imbalanced_core')} AS reason FROM {METRICS}",
     "match_collections": f"SELECT collection_id, dataset_id, passed, reason FROM {MATCHES}",
     "match_criteria_table": f"SELECT collection_id, dataset_id, passed, reason FROM {MATCHES}",

@@ -27,7 +27,7 @@ from tablevet.plans.inputs import (
     whole_fleet,
     written_criteria,
 )
-from tablevet.session import scratch_path
+from tablevet.session import scratch_path, staged
 from tablevet.sources import sinks
 from tablevet.sources import listing as lst
 from tablevet.sources.csv_fleet import discover, infer_dtypes, read_fleet
@@ -281,6 +281,7 @@ def filter_unknown_field(spark, sf_dir):
     return ids_where(spark, sf_dir, conditions)
 
 
+# The expression of a sample collection.
 SELECTION = (
     "task == 'classification' AND task_subtype == 'binary' AND missing_rate <= 0.05"
     " AND n_instances >= 500 AND n_instances <= 10000 AND n_features >= 5 AND n_features <= 100"
@@ -292,6 +293,11 @@ def filter_expr(spark, sf_dir):
     return selection.select_where(metrics(spark, sf_dir), SELECTION).select("dataset_id")
 
 
+@query
+def filter_expr_bare(spark, sf_dir):
+    return selection.select_where(metrics(spark, sf_dir), "task == classification").select("dataset_id")
+
+
 @query
 def filter_reason(spark, sf_dir):
     found = metrics(spark, sf_dir)
@@ -615,16 +621,18 @@ def collection_totals(spark, sf_dir):
 
 @query
 def manifest(spark, sf_dir):
-    """Nested manifest records, exploded to one row per selected dataset."""
-    nested = man.manifest(screening.screen(whole_fleet(spark, sf_dir), LARGE), top_k=100, limits=LARGE)
-    return nested.select(
+    """The whole manifest, one row per selected dataset."""
+    screened = staged(screening.screen(whole_fleet(spark, sf_dir), LARGE), "screened")
+    return man.manifest_rows(screened, LARGE).select(
         "manifest_id",
         "source_collection",
         "total_matched_before_clean",
         "final_dataset_count",
         F.size("filters_applied").alias("n_filters"),
-        F.posexplode_outer("selected_datasets").alias("position", "_ds"),
-    ).select("*", "_ds.dataset_id", "_ds.frozen_metadata.structure.n_instances").drop("_ds")
+        "position",
+        "dataset_id",
+        "frozen_metadata.structure.n_instances",
+    )
 
 
 @query

@@ -15,8 +15,17 @@ def _own_root() -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the cluster's shared folder; a local one only where none is configured."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or _own_root()
+    """A new path in the cluster's shared folder.
+
+    A folder of this machine serves only a session without other machines; elsewhere executors would
+    write to their own disks and later reads would miss rows, so a missing setting is an error.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        root = _own_root()
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
