@@ -279,6 +279,17 @@ def id_lists(ids: np.ndarray, counts: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids.astype(np.int32)))
 
 
+def id_slices(batches: Iterator[pa.RecordBatch], most: int = 1 << 17) -> Iterator[pa.RecordBatch]:
+    """Row slices of about ``most`` ids; a longer list is a slice by itself."""
+    for batch in batches:
+        total = np.append(0, np.cumsum(batch.column("ids").value_lengths().fill_null(0).to_numpy(), dtype=np.int64))
+        start = 0
+        while start < len(batch):
+            stop = max(start + 1, int(np.searchsorted(total, total[start] + most, side="right")) - 1)
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, ids array<int>) of every whole text, as the tokenizers library encodes it without
     added special tokens, truncation and padding; a special token's own string in a text gives that
@@ -300,7 +311,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema if f.name != "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in batches:
+        for rows in id_slices(batches):
             own = spelling(path)
             lists = rows.column("ids").fill_null([])
             flat = lists.flatten().to_numpy()
@@ -322,7 +333,7 @@ def ids_digest(encoded: DataFrame, columns: list[str]) -> DataFrame:
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema if f.name != "ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in batches:
+        for rows in id_slices(batches):
             lists = rows.column("ids").fill_null([])
             raw = lists.flatten().to_numpy().astype("<u4").tobytes()
             last = 4 * np.cumsum(lists.value_lengths().to_numpy()).astype(np.int64)
