@@ -131,17 +131,17 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, texts in text_slices(batches):
             index, value, n = featurize(texts, rows.column("n_chars").to_numpy(zero_copy_only=False).astype(float))
-            ends = np.append(0, np.cumsum(n)).astype(np.int32)
-            lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(x)) for x in (index.astype(np.int32), value)]
+            lists = [pa.array([p.tobytes() for p in np.split(x, np.cumsum(n)[:-1])]) for x in (index.astype(np.int32), value)]
             yield pa.RecordBatch.from_arrays([rows.column("doc_id"), rows.column("target"), *lists], ["doc_id", "target", "i", "x"])
 
     kind = chosen.schema["doc_id"].dataType.simpleString()
-    found = chosen.select("doc_id", "target", "text", "n_chars").mapInArrow(run, f"doc_id {kind}, target double, i array<int>, x array<float>")
+    found = chosen.select("doc_id", "target", "text", "n_chars").mapInArrow(run, f"doc_id {kind}, target double, i binary, x binary")
     rows = found.dropDuplicates(["doc_id"]).toPandas().sort_values("doc_id")
     if not len(rows):
         return fit(np.zeros(0, np.int64), np.zeros(0, np.float32), np.zeros(0, np.int64), np.zeros(0))
-    per_row = rows["i"].map(len).to_numpy()
-    return fit(np.concatenate(list(rows["i"])).astype(np.int64), np.concatenate(list(rows["x"])), per_row, rows["target"].to_numpy())
+    per_row = rows["i"].map(len).to_numpy() // 4
+    index, value = np.frombuffer(b"".join(rows["i"]), np.int32), np.frombuffer(b"".join(rows["x"]), np.float32)
+    return fit(index.astype(np.int64), value, per_row, rows["target"].to_numpy())
 
 
 def score(docs: DataFrame, machine: Machine) -> DataFrame:

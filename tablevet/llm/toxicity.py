@@ -24,9 +24,10 @@ from tablevet.llm.factorization import logistic
 
 BUCKETS = 1 << 17
 BEGINNINGS = (4, 5)
-SAMPLE_ROWS_PER_CLASS = 5_000
+SAMPLE_ROWS_PER_CLASS = 3_000
 CATEGORIES = ("lexical", "dense", "toxic")
 FOLDS = 3
+PRIOR_ROWS = 4
 BATCH_ROWS, STEPS = 64, 600
 EDGES = np.isin(np.arange(256), list(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"))
 
@@ -58,14 +59,16 @@ def sums_by_row(values: np.ndarray, per_row: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Linear:
-    """Logistic model of hashed features and the earlier probabilities of the chain."""
+    """Logistic model of hashed features, each scaled by its log odds in training, and of the earlier
+    probabilities of the chain."""
 
+    scale: np.ndarray
     bias: float
     weights: np.ndarray
     chained: np.ndarray
 
     def predict(self, index, value, per_row, earlier: np.ndarray) -> np.ndarray:
-        margin = self.bias + sums_by_row(self.weights[index] * value, per_row)
+        margin = self.bias + sums_by_row(self.weights[index] * self.scale[index] * value, per_row)
         return logistic(margin + earlier[:, : len(self.chained)] @ self.chained)
 
 
@@ -73,7 +76,12 @@ def fit(index, value, per_row, earlier: np.ndarray, target: np.ndarray, steps: i
     """Minibatch AdaGrad on the log loss with a small pull to zero."""
     rng = np.random.default_rng(11)
     share = np.clip(target.mean() if len(target) else 0.01, 1e-3, 1 - 1e-3)
-    m = Linear(float(np.log(share / (1 - share))), np.zeros(BUCKETS), np.zeros(earlier.shape[1]))
+    row = np.repeat(np.arange(len(per_row)), per_row)
+    bad = np.bincount(index, weights=target[row], minlength=BUCKETS)
+    good = np.bincount(index, weights=1 - target[row], minlength=BUCKETS)
+    prior = PRIOR_ROWS * np.array([share, 1 - share])
+    scale = np.log((bad + prior[0]) / (good + prior[1])) - np.log(share / (1 - share))
+    m = Linear(np.where(np.abs(scale) > 0.5, scale, 0), float(np.log(share / (1 - share))), np.zeros(BUCKETS), np.zeros(earlier.shape[1]))
     seen, seen_chained, seen_bias = np.full(BUCKETS, 1e-3), np.full(earlier.shape[1], 1e-3), 1e-3
     first = np.cumsum(per_row) - per_row
     for _ in range(-(-steps * BATCH_ROWS // len(target)) if len(target) else 0):
@@ -81,9 +89,10 @@ def fit(index, value, per_row, earlier: np.ndarray, target: np.ndarray, steps: i
             n = per_row[rows]
             take = np.repeat(first[rows] - (np.cumsum(n) - n), n) + np.arange(n.sum())
             i, x, row = index[take], value[take], np.repeat(np.arange(len(rows)), n)
+            scaled = x * m.scale[i]
             error = (m.predict(i, x, n, earlier[rows]) - target[rows]) / len(rows)
             used, at = np.unique(i, return_inverse=True)
-            g = np.bincount(at, weights=error[row] * x, minlength=len(used)) + 1e-5 * m.weights[used]
+            g = np.bincount(at, weights=error[row] * scaled, minlength=len(used)) + 1e-5 * m.weights[used]
             seen[used] += g * g
             m.weights[used] -= rate * g / np.sqrt(seen[used])
             c, b = earlier[rows].T @ error, error.sum()
@@ -152,17 +161,16 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS_PER
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, texts in text_slices(batches):
             index, value, n = featurize(texts)
-            ends = np.append(0, np.cumsum(n)).astype(np.int32)
-            lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(x)) for x in (index.astype(np.int32), value)]
+            lists = [pa.array([p.tobytes() for p in np.split(x, np.cumsum(n)[:-1])]) for x in (index.astype(np.int32), value)]
             yield pa.RecordBatch.from_arrays([rows.column("doc_id"), rows.column("target"), *lists], ["doc_id", "target", "i", "x"])
 
     kind = chosen.schema["doc_id"].dataType.simpleString()
-    found = chosen.select("doc_id", "target", "text").mapInArrow(run, f"doc_id {kind}, target double, i array<int>, x array<float>")
+    found = chosen.select("doc_id", "target", "text").mapInArrow(run, f"doc_id {kind}, target double, i binary, x binary")
     rows = found.dropDuplicates(["doc_id"]).toPandas()
     rows = rows.sort_values("doc_id").sample(frac=1, random_state=5)
-    per_row = rows["i"].map(len).to_numpy().astype(np.int64)
-    joined = lambda c, kind: np.concatenate(list(rows[c])).astype(kind) if len(rows) else np.zeros(0, kind)
-    index, value = joined("i", np.int64), joined("x", np.float32)
+    per_row = rows["i"].map(len).to_numpy().astype(np.int64) // 4
+    index = np.frombuffer(b"".join(rows["i"]), np.int32).astype(np.int64)
+    value = np.frombuffer(b"".join(rows["x"]), np.float32)
     return fit_chain(index, value, per_row, categories(index, per_row, rows["target"].to_numpy()))
 
 
