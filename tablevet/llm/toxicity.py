@@ -59,8 +59,9 @@ def sums_by_row(values: np.ndarray, per_row: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Linear:
-    """Logistic model of hashed features, each scaled by its log odds in training, and of the earlier
-    probabilities of the chain."""
+    """Logistic model of hashed features and of the earlier probabilities of the chain. A feature is
+    scaled by its log odds in training if these speak for the category; the others have no part, so
+    that a few telling words are not outweighed by the length of the text around them."""
 
     scale: np.ndarray
     bias: float
@@ -81,7 +82,7 @@ def fit(index, value, per_row, earlier: np.ndarray, target: np.ndarray, steps: i
     good = np.bincount(index, weights=1 - target[row], minlength=BUCKETS)
     prior = PRIOR_ROWS * np.array([share, 1 - share])
     scale = np.log((bad + prior[0]) / (good + prior[1])) - np.log(share / (1 - share))
-    m = Linear(np.where(np.abs(scale) > 0.5, scale, 0), float(np.log(share / (1 - share))), np.zeros(BUCKETS), np.zeros(earlier.shape[1]))
+    m = Linear(np.where(scale > 0.5, scale, 0), float(np.log(share / (1 - share))), np.zeros(BUCKETS), np.zeros(earlier.shape[1]))
     seen, seen_chained, seen_bias = np.full(BUCKETS, 1e-3), np.full(earlier.shape[1], 1e-3), 1e-3
     first = np.cumsum(per_row) - per_row
     for _ in range(-(-steps * BATCH_ROWS // len(target)) if len(target) else 0):
