@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 from tablevet.functions.naming import display_name
 from tablevet.sources.fleet import KEY
-from tablevet.sources.listing import first_text, listing_latest
+from tablevet.sources.listing import Bounds, first_text, listing_latest, scan_listing
 
 
-def with_academic(catalog: DataFrame, listing: DataFrame) -> DataFrame:
-    """Citation, paper and license of each dataset, by folder name; ``unknown`` where absent."""
-    known = listing_latest(listing).select(
+def with_academic(catalog: DataFrame, listing: DataFrame, bounds: Bounds = Bounds()) -> DataFrame:
+    """Citation, paper and license of each dataset, by folder name; ``unknown`` where absent.
+
+    Only active candidates inside the bounds count, so an inactive one of the same name gives nothing."""
+    known = listing_latest(scan_listing(listing, bounds)).select(
         "dataset_id",
         first_text("citation").alias("citation"),
         first_text("paper_url").alias("paper_url"),

@@ -41,6 +41,7 @@ CRITERIA_SCHEMA = pa.schema(
     [
         ("collection_id", pa.string()),
         ("cond_no", pa.int32()),
+        ("any_no", pa.int32()),
         ("group_no", pa.int32()),
         ("field", pa.string()),
         ("op", pa.string()),
@@ -49,6 +50,11 @@ CRITERIA_SCHEMA = pa.schema(
 )
 
 
+# Rows that stand for an empty group, which holds, and for an any_of without groups, which does not.
+ALWAYS = {"field": "", "op": "==", "value": ""}
+NEVER = {"field": "", "op": "!=", "value": ""}
+
+
 def number_or_none(value) -> float | int | None:
     try:
         number = float(value)
@@ -136,26 +142,56 @@ def match_collections(metrics: DataFrame, specs: list[dict], unknown: str = "pas
     )
 
 
+def match_passing(metrics: DataFrame, specs: list[dict], unknown: str = "pass") -> DataFrame:
+    """The passing pairs alone: ``metrics`` with ``collection_id``, one row per dataset and collection
+    that takes it. Datasets that no collection takes are dropped by a filter that reaches the scan."""
+    truths = [compile_criteria(spec, metrics.schema, unknown) for spec in specs]
+    takers = F.array(
+        *[F.when(truth, F.lit(spec["collection_id"])) for truth, spec in zip(truths, specs)]
+    )
+    some = metrics.where(reduce(lambda a, b: a | b, truths, F.lit(False)))
+    return some.select("*", F.explode(F.array_compact(takers)).alias("collection_id"))
+
+
+def flat_groups(groups: list[list[dict]]) -> list[list[dict]]:
+    """Alternatives of an ``any_of`` without nesting: a nested one multiplies out its group."""
+    out = []
+    for group in groups:
+        flat: list[list[dict]] = [[]]
+        for condition in group:
+            inner = flat_groups(condition["any_of"]) if "any_of" in condition else [[condition]]
+            flat = [a + b for a in flat for b in inner]
+        out += flat
+    return out
+
+
 def criteria_df(spark: SparkSession, specs: list[dict]) -> DataFrame:
-    """Conditions as a table; rows of an ``any_of`` group carry its number.
+    """Conditions as a table; rows of an ``any_of`` carry its number and that of their group.
 
-    A collection may hold one ``any_of`` in this form.
+    An empty group always holds, and so does a row without a field. An ``any_of`` without groups
+    never holds; it is a row without field and operator.
     """
     records = []
     for spec in specs:
-        if sum("any_of" in c for c in spec.get("all_of", [])) > 1:
-            raise ValueError(f"more than one any_of: {spec['collection_id']}")
         flat = []
+        n_any = 0
         for condition in spec.get("all_of", []):
-            groups = condition.get("any_of", [[condition]])
+            if "any_of" not in condition:
+                flat.append((None, None, condition))
+                continue
+            n_any += 1
+            groups = flat_groups(condition["any_of"])
             for number, group in enumerate(groups, start=1):
-                flat += [(number if "any_of" in condition else None, c) for c in group]
-        for cond_no, (group_no, c) in enumerate(flat, start=1):
+                flat += [(n_any, number, c) for c in group or [ALWAYS]]
+            if not groups:
+                flat.append((n_any, 1, NEVER))
+        for cond_no, (any_no, group_no, c) in enumerate(flat, start=1):
             value = ",".join(map(str, c["value"])) if c["op"] == "between" else str(c["value"])
             records.append(
                 {
                     "collection_id": spec["collection_id"],
                     "cond_no": cond_no,
+                    "any_no": any_no,
                     "group_no": group_no,
                     "field": c["field"],
                     "op": c["op"],
@@ -230,16 +266,18 @@ def match_criteria_table(
     always = criteria.select("collection_id").distinct().select(
         "collection_id",
         F.lit(0).alias("cond_no"),
+        F.lit(None).cast("int").alias("any_no"),
         F.lit(None).cast("int").alias("group_no"),
         F.lit("").alias("field"),
         F.lit("==").alias("op"),
         F.lit("").alias("value"),
     )
     # A condition on an unknown field holds, inside a group as well, so it asks what always holds.
-    known = F.col("field").isin(fields)
+    known = F.col("field").isin([*fields, ""])
     asked = criteria.select(
         "collection_id",
         "cond_no",
+        "any_no",
         "group_no",
         F.when(known, F.col("field")).otherwise("").alias("field"),
         F.when(known, F.col("op")).otherwise("==").alias("op"),
@@ -254,13 +292,17 @@ def match_criteria_table(
     checked = long.join(spread, ["field", "_salt"]).withColumn("_fails", ~holds)
     single = F.col("group_no").isNull()
     text = F.concat_ws(" ", "field", "op", "value")
+    group = F.when(~single, F.struct("any_no", "group_no"))
     verdict = checked.groupBy("collection_id", *key).agg(
         F.coalesce(F.bool_or(F.when(single, F.col("_fails"))), F.lit(False)).alias("_single_fails"),
         F.min_by(text, F.when(single & F.col("_fails"), F.col("cond_no"))).alias("_reason"),
-        F.collect_set("group_no").alias("_groups"),
-        F.collect_set(F.when(F.col("_fails"), F.col("group_no"))).alias("_failed_groups"),
+        F.collect_set(group).alias("_groups"),
+        F.collect_set(F.when(F.col("_fails"), group)).alias("_failed_groups"),
     )
-    some_group = (F.size("_groups") == 0) | (F.size("_failed_groups") < F.size("_groups"))
+    # Every any_of needs a group in which nothing fails.
+    number = lambda groups: F.array_distinct(F.transform(groups, lambda g: g["any_no"]))
+    held = F.array_except("_groups", "_failed_groups")
+    some_group = F.size(number(held)) == F.size(number(F.col("_groups")))
     return verdict.select(
         "collection_id",
         *key,

@@ -7,18 +7,25 @@ from pyspark.sql import functions as F
 
 from tablevet.functions.ordered import ranked, running_sums
 from tablevet.operators.profile import share
+from tablevet.session import staged
 
 
 def split_80_20(df: DataFrame, key: str, target: str, train_share: float = 0.8) -> DataFrame:
     """Adds ``part``: in each class the first 80 % (rounded up) by the key's digest train.
 
-    The digest orders rows the same way on every run; ``key`` must be unique.
+    The digest orders rows the same way on every run; ``key`` must be unique. Only digest, key and class
+    are ranked; each class keeps the place of its last training row, and rows compare with that.
     """
-    digest = F.md5(F.col(key).cast("string"))
-    numbered = ranked(df.withColumn("_digest", digest), [target], [F.asc("_digest"), F.asc(key)], "_rank")
-    trains = F.col("_rank") <= F.ceil(F.col("_rank_total") * train_share)
-    return numbered.withColumn("part", F.when(trains, "train").otherwise("test")).drop(
-        "_digest", "_rank", "_rank_total"
+    place = F.struct(F.md5(F.col(key).cast("string")).alias("digest"), F.col(key).alias("key"))
+    slim = df.select(F.col(target).alias("_class"), place.alias("_place"))
+    numbered = ranked(slim, ["_class"], [F.asc("_place")], "_rank")
+    last = F.col("_rank") == F.ceil(F.col("_rank_total") * train_share)
+    cuts = staged(numbered.where(last).select("_class", F.col("_place").alias("_cut")), "cuts")
+    trains = F.coalesce(place <= F.col("_cut"), F.lit(False))
+    return (
+        df.join(cuts, F.col(target).eqNullSafe(F.col("_class")), "left")
+        .withColumn("part", F.when(trains, "train").otherwise("test"))
+        .drop("_class", "_cut")
     )
 
 

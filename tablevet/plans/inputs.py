@@ -158,16 +158,3 @@ def derived_fleet(spark: SparkSession, sf_dir: str) -> Fleet:
 
 def whole_fleet(spark: SparkSession, sf_dir: str) -> Fleet:
     return table_fleet(spark, sf_dir).union(derived_fleet(spark, sf_dir))
-
-
-def mixed_fleet(spark: SparkSession, sf_dir: str) -> Fleet:
-    """Fewer datasets, for queries that return every cell."""
-    events, part = load(spark, sf_dir, "events"), load(spark, sf_dir, "part")
-    return fleet_of(
-        [
-            to_fleet(events, "events_by_type", "mixed", "event_type"),
-            to_fleet(part, "part", "mixed"),
-            to_fleet(load(spark, sf_dir, "customer"), "customer", "mixed"),
-            to_fleet(orders_customer(spark, sf_dir), "orders_customer", "orders"),
-        ]
-    )

@@ -58,13 +58,7 @@ DERIVED_SETS = [
     dataset("derived", "lineitem_dirty", DIRTY, DIRTY_SCHEMA),
 ]
 WHOLE = TABLE_SETS + DERIVED_SETS
-MIXED = [
-    dataset("mixed", "events_by_type", "events", SCHEMAS["events"], "event_type"),
-    dataset("mixed", "part", "part", SCHEMAS["part"]),
-    dataset("mixed", "customer", "customer", SCHEMAS["customer"]),
-    dataset("orders", "orders_customer", ORDERS_CUSTOMER, ORDERS_CUSTOMER_SCHEMA),
-]
-CSV_SETS = [dataset("csv", t, t, SCHEMAS[t]) for t in ("customer", "supplier", "part", "labels", "documents")]
+CSV_SETS = [dataset("csv", t, t, s) for t, s in SCHEMAS.items()]
 
 LISTING = """(SELECT p_partkey AS did, p_name || ' (' || p_type || ')' AS name,
   CAST(p_size * 200 AS BIGINT) AS n_instances, p_partkey % 110 AS n_features,
@@ -131,7 +125,6 @@ def _column_stats(sets: list[dict], cleaned: bool) -> str:
 
 
 PROFILE = _column_stats(WHOLE, cleaned=False)
-MIXED_PROFILE = _column_stats(MIXED, cleaned=False)
 
 
 def _raw_rows(sets: list[dict]) -> str:
@@ -205,7 +198,7 @@ def _screen(sets: list[dict], min_features: int = 5, max_rows: int | None = None
 
 WHOLE_SCREEN = _screen(WHOLE, max_rows=10000)
 LARGE_SCREEN = _screen(WHOLE)
-MIXED_SCREEN = _screen(MIXED, min_features=3)
+NARROW_SCREEN = _screen(WHOLE, min_features=2)
 
 
 def _cells(sets: list[dict], cleaned: bool = False) -> str:
@@ -224,13 +217,54 @@ def _cells(sets: list[dict], cleaned: bool = False) -> str:
     return _union(parts)
 
 
-def _clean_cells(sets: list[dict], screened: str) -> str:
-    return f"""SELECT collection_id, dataset_id, CAST(position AS INTEGER) AS ordinal, column_name,
-  dtype, value
-FROM {_cells(sets, cleaned=True)}
-JOIN (SELECT {KEY}, ordinal, row_number() OVER (PARTITION BY {KEY} ORDER BY ordinal) AS position
-  FROM {_flags(sets)} WHERE is_kept) USING (collection_id, dataset_id, ordinal)
-JOIN (SELECT {KEY} FROM {screened} WHERE status = 'validated') USING (collection_id, dataset_id)"""
+# Texts that a CSV reader takes for missing.
+NA_TEXTS = """('', '#N/A', '#N/A N/A', '#NA', '-1.#IND', '-1.#QNAN', '-NaN', '-nan', '1.#IND', '1.#QNAN',
+  '<NA>', 'N/A', 'NA', 'NULL', 'NaN', 'None', 'n/a', 'nan', 'null')"""
+
+
+_DIGEST = "CAST(sum(CAST('0x' || substr(h, {}, 8) AS BIGINT)) AS BIGINT) AS {}"
+DIGESTS = f"{_DIGEST.format(1, 'digest_a')}, {_DIGEST.format(9, 'digest_b')}"
+
+
+def _csv_text(column: str, dtype: str) -> str:
+    """The value of a column as text, after it was written as CSV."""
+    if dtype == "datetime":
+        return f"strftime({column}, '%Y-%m-%d %H:%M:%S.%f')"
+    return f"CASE WHEN {column} NOT IN {NA_TEXTS} THEN {column} END" if dtype == "string" else f"CAST({column} AS VARCHAR)"
+
+
+def _row_digests(sets: list[dict], screened: str | None = None, csv: bool = False) -> str:
+    """Per dataset: columns, rows and digests of whole rows; cleaned where there is a screening."""
+    if screened:
+        kept = f"""SELECT {KEY}, list(ordinal) AS kept,
+  string_agg(column_name || ':' || dtype, ',' ORDER BY ordinal) AS columns FROM {_flags(sets)}
+  JOIN (SELECT {KEY} FROM {screened} WHERE status = 'validated') USING ({KEY}) WHERE is_kept GROUP BY {KEY}"""
+    else:
+        kept = "\nUNION ALL ".join(
+            "SELECT '{}' AS collection_id, '{}' AS dataset_id, {} AS kept, '{}' AS columns".format(
+                s["c"],
+                s["d"],
+                list(range(1, len(s["columns"]) + 1)),
+                ",".join(f"{c}:{'string' if csv and t == 'datetime' else t}" for c, t in s["columns"]),
+            )
+            for s in sets
+        )
+    parts = []
+    for s in sets:
+        names = ", ".join(c for c, _ in s["columns"])
+        rel = f"(SELECT DISTINCT {names} FROM {s['rel']} WHERE {s['target']} IS NOT NULL)" if screened else s["rel"]
+        texts = [_csv_text(c, t) if csv else f"CAST({c} AS VARCHAR)" for c, t in s["columns"]]
+        row = " || ".join(
+            f"CASE WHEN list_contains(kept, {i}) THEN chr(31) || coalesce('=' || {text}, '-') ELSE '' END"
+            for i, text in enumerate(texts, start=1)
+        )
+        parts.append(
+            f"SELECT '{s['c']}' AS collection_id, '{s['d']}' AS dataset_id, md5({row}) AS h"
+            f" FROM {rel} JOIN kept_columns ON collection_id = '{s['c']}' AND dataset_id = '{s['d']}'"
+        )
+    return f"""WITH kept_columns AS MATERIALIZED ({kept})
+SELECT {KEY}, columns, count(*) AS n_rows, {DIGESTS}
+FROM {_union(parts)} JOIN kept_columns USING ({KEY}) GROUP BY {KEY}, columns"""
 
 
 def _title(text: str) -> str:
@@ -248,6 +282,9 @@ NAMED_CATALOG = f"""(SELECT DISTINCT status AS collection_id, {_sanitize('name')
   UNION SELECT 'suppliers', {_sanitize('s_name')} FROM supplier)"""
 LATEST = f"""(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY dataset_id ORDER BY did DESC) AS rn
   FROM (SELECT *, {_sanitize('name')} AS dataset_id FROM {LISTING})) WHERE rn = 1)"""
+LATEST_ACTIVE = f"""(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY dataset_id ORDER BY did DESC) AS rn
+  FROM (SELECT *, {_sanitize('name')} AS dataset_id FROM {LISTING} WHERE status = 'active'
+    AND n_instances BETWEEN 500 AND 10000 AND n_features BETWEEN 5 AND 100)) WHERE rn = 1)"""
 
 SIZE_CHECKS = [
     ("n_instances >= 500",) * 2,
@@ -310,7 +347,7 @@ FROM {profile} GROUP BY collection_id, dataset_id"""
 CLASSED = "n_classes > 0 AND (dtype NOT IN ('int', 'float') OR n_classes <= 20)"
 INFERRED_INT = "regexp_full_match(value, '[+-]?[0-9]+')"
 INFERRED_NUMBER = r"regexp_full_match(value, '[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?')"
-MIXED_ENTRIES = f"(SELECT * FROM {MIXED_SCREEN} WHERE status = 'validated')"
+NARROW_ENTRIES = f"(SELECT * FROM {NARROW_SCREEN} WHERE status = 'validated')"
 DIRTY_NAMES = ", ".join(c.split()[0] for c in DIRTY_SCHEMA.split(",") if c.split()[0] not in ("c_const", "c_sparse"))
 LINEITEM_NAMES = ", ".join(c.split()[0] for c in SCHEMAS["lineitem"].split(","))
 CONFUSION = """(SELECT l_linestatus, l_returnflag AS label, CASE WHEN l_discount > 0.05 THEN 'R'
@@ -332,8 +369,10 @@ ORACLE = {
 WHERE n_instances BETWEEN 500 AND 10000 AND n_features BETWEEN 5 AND 100 AND status = 'active'
   AND n_classes = 2""",
     "discovered": "SELECT DISTINCT collection_id, dataset_id, TRUE AS has_data FROM " + _cells(CSV_SETS),
-    "csv_fleet_cells": "SELECT * FROM " + _cells(CSV_SETS),
-    "cells": "SELECT * FROM " + _cells(CSV_SETS),
+    "csv_fleet_cells": _row_digests(CSV_SETS, csv=True),
+    "cells": f"""SELECT {KEY}, ordinal, column_name, dtype, count(*) AS n_rows, {DIGESTS}
+FROM (SELECT *, md5(chr(31) || coalesce('=' || value, '-')) AS h FROM {_cells(TABLE_SETS)})
+GROUP BY {KEY}, ordinal, column_name, dtype""",
     "inferred_dtypes": f"""SELECT collection_id, dataset_id, ordinal, column_name,
   CASE WHEN bool_and({INFERRED_INT}) THEN 'int' WHEN bool_and({INFERRED_NUMBER}) THEN 'float'
     ELSE 'string' END AS dtype
@@ -344,18 +383,19 @@ JOIN (SELECT collection_id, count(*) FILTER (WHERE passed) AS n_passing FROM {MA
   GROUP BY collection_id) USING (collection_id)""",
     "raw_sink": "SELECT * FROM customer",
     "catalog_flat": _ledger(WHOLE, PROFILE),
-    "catalog_sink": _ledger(MIXED, MIXED_PROFILE),
-    "profile_sink": _ledger(MIXED, MIXED_PROFILE),
-    "processed_sink": _clean_cells(MIXED, MIXED_SCREEN),
+    "catalog_sink": _ledger(WHOLE, PROFILE),
+    "profile_sink": _ledger(WHOLE, PROFILE),
+    "processed_sink": _row_digests(WHOLE, NARROW_SCREEN),
     "manifest_sink": f"""SELECT collection_id, total_matched_before_clean, final_dataset_count, dataset_id,
   n_instances
 FROM (SELECT collection_id, count(*) AS total_matched_before_clean,
   count(*) FILTER (WHERE status = 'validated') AS final_dataset_count
-  FROM {MIXED_SCREEN} GROUP BY collection_id)
-LEFT JOIN (SELECT collection_id, dataset_id, n_instances FROM {MIXED_ENTRIES}) USING (collection_id)""",
-    "export_rows": _clean_cells(MIXED, f"(SELECT * FROM {MIXED_SCREEN} WHERE collection_id = 'mixed')"),
-    "export_missing": f"SELECT collection_id, dataset_id FROM {MIXED_ENTRIES} WHERE collection_id = 'orders'",
-    "resolved_collections": f"SELECT DISTINCT collection_id AS source_collection FROM {MIXED_SCREEN}",
+  FROM {NARROW_SCREEN} GROUP BY collection_id)
+LEFT JOIN (SELECT collection_id, dataset_id, n_instances FROM {NARROW_ENTRIES}) USING (collection_id)""",
+    "export_rows": _row_digests(DERIVED_SETS, NARROW_SCREEN),
+    "export_all_rows": _row_digests(WHOLE, NARROW_SCREEN),
+    "export_missing": f"SELECT collection_id, dataset_id FROM {NARROW_ENTRIES} WHERE collection_id = 'derived'",
+    "resolved_collections": f"SELECT DISTINCT collection_id AS source_collection FROM {NARROW_SCREEN}",
     "status_update": STATUS_UPDATE,
     "status_filter": f"SELECT * FROM ({STATUS_UPDATE}) WHERE status = 'validated'",
     "filter_compare": f"""SELECT dataset_id FROM {METRICS} WHERE n_instances > 400 AND n_instances < 9000
@@ -376,6 +416,7 @@ LEFT JOIN (SELECT collection_id, dataset_id, n_instances FROM {MIXED_ENTRIES}) U
     "filter_expr_bare": f"SELECT dataset_id FROM {METRICS} WHERE task = 'classification'",
     "filter_reason": f"SELECT dataset_id, {_reason('multiclass_imbalanced_core')} AS reason FROM {METRICS}",
     "match_collections": f"SELECT collection_id, dataset_id, passed, reason FROM {MATCHES}",
+    "match_passing": f"SELECT collection_id, dataset_id FROM {MATCHES} WHERE passed",
     "match_criteria_table": f"SELECT collection_id, dataset_id, passed, reason FROM {MATCHES}",
     "coerce_values": f"""SELECT cond_no, field,
   CASE WHEN field IN ('n_instances', 'n_features', 'missing_rate') THEN
@@ -410,10 +451,10 @@ FROM {METRICS}""",
     "academic_join": f"""SELECT collection_id, c.dataset_id, coalesce(nullif(citation, ''), 'unknown') AS citation,
   coalesce(nullif(paper_url, ''), 'unknown') AS paper_url,
   coalesce(nullif(licence, ''), nullif(license, ''), 'unknown') AS license
-FROM {NAMED_CATALOG} c LEFT JOIN {LATEST} l ON c.dataset_id = l.dataset_id""",
+FROM {NAMED_CATALOG} c LEFT JOIN {LATEST_ACTIVE} l ON c.dataset_id = l.dataset_id""",
     "target_lookup": f"""SELECT collection_id, dataset_id, column_name AS target_variable
-FROM {MIXED_PROFILE} WHERE is_target
-UNION ALL SELECT 'mixed', lower(r_name), 'unknown' FROM region""",
+FROM {PROFILE} WHERE is_target
+UNION ALL SELECT 'tables', lower(r_name), 'unknown' FROM region""",
     "missing_source": f"""SELECT task AS collection_id, dataset_id, 'cataloged' AS status FROM {METRICS}
 WHERE status <> 'active'""",
     "column_profile": f"""SELECT {KEY}, ordinal, column_name, dtype, is_target, n_rows, n_missing, n_unique,
@@ -475,12 +516,12 @@ FROM {PROFILE} JOIN {_duplicates(WHOLE)} USING (collection_id, dataset_id) GROUP
     "gate_outcomes_large": f"SELECT {KEY}, status, reason FROM {LARGE_SCREEN}",
     "gate_outcomes_ledger": f"""SELECT {KEY},
   CASE WHEN dataset_id = 'part' THEN 'rejected' ELSE status END AS status,
-  CASE WHEN dataset_id = 'part' THEN 'profile_missing' ELSE reason END AS reason FROM {MIXED_SCREEN}
-UNION ALL SELECT 'mixed', lower(n_name), 'rejected', 'source_missing' FROM nation""",
+  CASE WHEN dataset_id = 'part' THEN 'profile_missing' ELSE reason END AS reason FROM {NARROW_SCREEN}
+UNION ALL SELECT 'tables', lower(n_name), 'rejected', 'source_missing' FROM nation""",
     "screening_record": f"SELECT * FROM {LARGE_SCREEN}",
     "cleaning_report": f"""SELECT {KEY}, missing_target_rows, duplicate_rows, sparse_columns, constant_columns,
   id_columns FROM {WHOLE_SCREEN}""",
-    "clean_fleet": _clean_cells(MIXED, MIXED_SCREEN),
+    "clean_fleet": _row_digests(WHOLE, NARROW_SCREEN),
     "frozen_metadata": f"""SELECT {KEY}, {_title("replace(dataset_id, '_', ' ')")} AS name, task, target_variable,
   n_instances, n_features, missing_rate, numeric, categorical, status
 FROM {LARGE_SCREEN} WHERE status = 'validated'""",

@@ -17,12 +17,12 @@ from tablevet.operators import scores, screening, selection, wide
 from tablevet.plans.inputs import (
     METRIC_FIELDS,
     SPECS,
+    TABLES,
     derived_fleet,
     lineitem_dirty,
     listing,
     load,
     metrics,
-    mixed_fleet,
     table_fleet,
     whole_fleet,
     written_criteria,
@@ -31,14 +31,14 @@ from tablevet.session import scratch_path, staged
 from tablevet.sources import sinks
 from tablevet.sources import listing as lst
 from tablevet.sources.csv_fleet import discover, infer_dtypes, read_fleet
-from tablevet.sources.fleet import KEY, Fleet, fleet_of, to_cells, to_fleet
+from tablevet.sources.fleet import KEY, Fleet, cell_digests, row_digests, skipped_columns, to_cells
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
-# The test tables exceed the default row limit; mixed datasets have few features.
+# The test tables exceed the default row limit, and several have few features.
 LARGE = Limits(max_rows=None)
-MIXED = Limits(max_rows=None, min_features=3)
+NARROW = Limits(max_rows=None, min_features=2)
 
 
 def query(fn: Query) -> Query:
@@ -68,29 +68,25 @@ def listing_scan(spark, sf_dir):
 def raw_tree(spark: SparkSession, sf_dir: str, tables: list[str]) -> str:
     root = scratch_path(spark, "raw")
     for table in tables:
-        sinks.write_raw(load(spark, sf_dir, table), root, "csv", table)
+        df = load(spark, sf_dir, table)
+        sinks.write_raw(df.drop(*skipped_columns(df)), root, "csv", table)
     return root
 
 
-CSV_TABLES = ["customer", "supplier", "part", "labels", "documents"]
-
-
 @query
 def discovered(spark, sf_dir):
-    found = discover(spark, raw_tree(spark, sf_dir, CSV_TABLES))
+    found = discover(spark, raw_tree(spark, sf_dir, TABLES))
     return found.select(*KEY, (F.col("n_bytes") > 0).alias("has_data"))
 
 
 @query
 def csv_fleet_cells(spark, sf_dir):
-    fleet = read_fleet(spark, raw_tree(spark, sf_dir, CSV_TABLES)).fleet
-    return to_cells(fleet).drop("row_id")
+    return row_digests(read_fleet(spark, raw_tree(spark, sf_dir, TABLES)).fleet)
 
 
 @query
 def cells(spark, sf_dir):
-    fleet = fleet_of([to_fleet(load(spark, sf_dir, t), t, "csv") for t in CSV_TABLES])
-    return to_cells(fleet).drop("row_id")
+    return cell_digests(to_cells(table_fleet(spark, sf_dir)))
 
 
 @query
@@ -105,7 +101,7 @@ def criteria_table(spark, sf_dir):
     candidates = metrics(spark, sf_dir).select("dataset_id", *METRIC_FIELDS)
     verdicts = crit.match_criteria_table(candidates, criteria, ["dataset_id"])
     passing = verdicts.groupBy("collection_id").agg(F.count_if("passed").alias("n_passing"))
-    return criteria.drop("group_no").join(passing, "collection_id")
+    return criteria.drop("any_no", "group_no").join(passing, "collection_id")
 
 
 @query
@@ -132,14 +128,14 @@ def catalog_flat(spark, sf_dir):
 @query
 def catalog_sink(spark, sf_dir):
     path = scratch_path(spark, "catalog")
-    sinks.write_catalog(cat.flatten_profile(cataloged(spark, sf_dir, mixed_fleet(spark, sf_dir))), path)
+    sinks.write_catalog(cat.flatten_profile(cataloged(spark, sf_dir, whole_fleet(spark, sf_dir))), path)
     return spark.read.parquet(path)
 
 
 @query
 def profile_sink(spark, sf_dir):
     path = scratch_path(spark, "profiles")
-    profiles = cataloged(spark, sf_dir, mixed_fleet(spark, sf_dir))
+    profiles = cataloged(spark, sf_dir, whole_fleet(spark, sf_dir))
     sinks.write_profiles(profiles, path)
     return cat.flatten_profile(spark.read.schema(profiles.schema).json(path))
 
@@ -147,18 +143,18 @@ def profile_sink(spark, sf_dir):
 @query
 def processed_sink(spark, sf_dir):
     path = scratch_path(spark, "processed")
-    sinks.write_processed(screening.clean_fleet(mixed_fleet(spark, sf_dir), MIXED), path)
-    return to_cells(sinks.read_processed(spark, path)).drop("row_id")
+    sinks.write_processed(screening.clean_fleet(whole_fleet(spark, sf_dir), NARROW), path)
+    return row_digests(sinks.read_processed(spark, path))
 
 
-def mixed_screen(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return screening.screen(mixed_fleet(spark, sf_dir), MIXED)
+def whole_screen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return screening.screen(whole_fleet(spark, sf_dir), NARROW)
 
 
 @query
 def manifest_sink(spark, sf_dir):
-    screened = mixed_screen(spark, sf_dir)
-    header, entries = man.manifest_header(screened, MIXED), man.manifest_entries(screened)
+    screened = whole_screen(spark, sf_dir)
+    header, entries = man.manifest_header(screened, NARROW), man.manifest_entries(screened)
     path = scratch_path(spark, "manifest")
     sinks.write_manifest(header, entries, path)
     found = spark.read.schema(entries.schema).json(f"{path}/entries").select(
@@ -174,23 +170,33 @@ def manifest_sink(spark, sf_dir):
 
 @query
 def export_rows(spark, sf_dir):
-    fleet = mixed_fleet(spark, sf_dir)
-    entries = man.manifest_entries(screening.screen(fleet, MIXED))
+    fleet = whole_fleet(spark, sf_dir)
+    entries = man.manifest_entries(screening.screen(fleet, NARROW))
     path = scratch_path(spark, "export")
-    sinks.export(entries, screening.clean_fleet(fleet, MIXED), path, "mixed")
-    return to_cells(sinks.read_processed(spark, path)).drop("row_id")
+    sinks.export(entries, screening.clean_fleet(fleet, NARROW), path, "derived")
+    return row_digests(sinks.read_processed(spark, path))
+
+
+@query
+def export_all_rows(spark, sf_dir):
+    """The export of all collections."""
+    fleet = whole_fleet(spark, sf_dir)
+    entries = man.manifest_entries(screening.screen(fleet, NARROW))
+    path = scratch_path(spark, "export")
+    sinks.export(entries, screening.clean_fleet(fleet, NARROW), path)
+    return row_digests(sinks.read_processed(spark, path))
 
 
 @query
 def export_missing(spark, sf_dir):
-    fleet = mixed_fleet(spark, sf_dir)
-    processed = screening.clean_fleet(fleet, MIXED).rows.where(F.col("collection_id") != "orders")
-    return man.export_missing(man.manifest_entries(screening.screen(fleet, MIXED)), processed)
+    fleet = whole_fleet(spark, sf_dir)
+    processed = screening.clean_fleet(fleet, NARROW).columns.where(F.col("collection_id") != "derived")
+    return man.export_missing(man.manifest_entries(screening.screen(fleet, NARROW)), processed)
 
 
 @query
 def resolved_collections(spark, sf_dir):
-    return man.resolved_collections(man.manifest_header(mixed_screen(spark, sf_dir), MIXED))
+    return man.resolved_collections(man.manifest_header(whole_screen(spark, sf_dir), NARROW))
 
 
 def part_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -312,6 +318,11 @@ def match_collections(spark, sf_dir):
     return matched.select("collection_id", "dataset_id", "passed", "reason")
 
 
+@query
+def match_passing(spark, sf_dir):
+    return crit.match_passing(metrics(spark, sf_dir), SPECS).select("collection_id", "dataset_id")
+
+
 @query
 def match_criteria_table(spark, sf_dir):
     candidates = metrics(spark, sf_dir).select("dataset_id", *METRIC_FIELDS)
@@ -417,10 +428,10 @@ def academic_join(spark, sf_dir):
 
 @query
 def target_lookup(spark, sf_dir):
-    profiles = prof.dataset_profile(mixed_fleet(spark, sf_dir))
-    entries = mixed_fleet(spark, sf_dir).columns.select(*KEY).distinct()
+    profiles = prof.dataset_profile(whole_fleet(spark, sf_dir))
+    entries = whole_fleet(spark, sf_dir).columns.select(*KEY).distinct()
     regions = load(spark, sf_dir, "region").select(
-        F.lit("mixed").alias("collection_id"), F.lower("r_name").alias("dataset_id")
+        F.lit("tables").alias("collection_id"), F.lower("r_name").alias("dataset_id")
     )
     return cat.with_target(entries.unionByName(regions), profiles)
 
@@ -566,14 +577,14 @@ def gate_outcomes_large(spark, sf_dir):
 @query
 def gate_outcomes_ledger(spark, sf_dir):
     """Outcomes of a ledger with entries that lost their data or their profile."""
-    fleet = mixed_fleet(spark, sf_dir)
+    fleet = whole_fleet(spark, sf_dir)
     entries = fleet.columns.select(*KEY, (F.col("dataset_id") != "part").alias("has_profile")).distinct()
     gone = load(spark, sf_dir, "nation").select(
-        F.lit("mixed").alias("collection_id"),
+        F.lit("tables").alias("collection_id"),
         F.lower("n_name").alias("dataset_id"),
         F.lit(True).alias("has_profile"),
     )
-    return screening.gate_outcomes(screening.screen(fleet, MIXED), entries.unionByName(gone))
+    return screening.gate_outcomes(screening.screen(fleet, NARROW), entries.unionByName(gone))
 
 
 @query
@@ -597,7 +608,7 @@ def cleaning_report(spark, sf_dir):
 
 @query
 def clean_fleet(spark, sf_dir):
-    return to_cells(screening.clean_fleet(mixed_fleet(spark, sf_dir), MIXED)).drop("row_id")
+    return row_digests(screening.clean_fleet(whole_fleet(spark, sf_dir), NARROW))
 
 
 @query
@@ -645,7 +656,7 @@ def manifest_top_k(spark, sf_dir):
 
 
 def passing_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return crit.match_collections(metrics(spark, sf_dir), SPECS).where("passed")
+    return crit.match_passing(metrics(spark, sf_dir), SPECS)
 
 
 @query

@@ -140,15 +140,68 @@ def fleet_of(tables: list[Fleet]) -> Fleet:
 
 
 def to_cells(fleet: Fleet) -> DataFrame:
-    """One row per value as text, with its column's name and type."""
-    names = fleet.columns.select(*KEY, "store", "slot", "ordinal", "column_name", "dtype", "kind")
-    parts = []
-    for store in STORE_TYPES:
-        cells = fleet.rows.select(*KEY, "row_id", F.posexplode(store).alias("slot", "value"))
-        text = as_text(F.col("kind"), F.col("value")) if store == "longs" else F.col("value").cast("string")
-        parts.append(
-            cells.join(names.where(F.col("store") == store), [*KEY, "slot"]).select(
-                *KEY, "row_id", "ordinal", "column_name", "dtype", text.alias("value")
+    """One row per value as text, with its column's name and type, in one pass over the rows."""
+
+    def entries(store: str) -> Column:
+        def entry(value: Column, slot: Column) -> Column:
+            long, text = (value, F.lit(None)) if store == "longs" else (F.lit(None), value)
+            return F.struct(
+                F.lit(store).alias("store"),
+                slot.alias("slot"),
+                long.cast("bigint").alias("_long"),
+                text.cast("string").alias("_text"),
             )
-        )
-    return reduce(DataFrame.unionByName, parts)
+
+        return F.transform(store, entry)
+
+    cells = fleet.rows.select(*KEY, "row_id", F.inline(F.concat(*map(entries, STORE_TYPES))))
+    names = fleet.columns.select(*KEY, "store", "slot", "ordinal", "column_name", "dtype", "kind")
+    whole = F.when(F.col("store") == "longs", as_text(F.col("kind"), F.col("_long")))
+    return cells.join(names, [*KEY, "store", "slot"]).select(
+        *KEY, "row_id", "ordinal", "column_name", "dtype", whole.otherwise(F.col("_text")).alias("value")
+    )
+
+
+def digest_sums(df: DataFrame, by: list[str], text: Column) -> DataFrame:
+    """Per group the rows and two sums over digests of ``text``: equal sums mean equal texts, whatever
+    their order. Folded before the shuffle."""
+    return df.withColumn("_digest", F.md5(text)).groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        *[
+            F.sum(F.conv(F.substring("_digest", at, 8), 16, 10).cast("bigint")).alias(name)
+            for name, at in (("digest_a", 1), ("digest_b", 9))
+        ],
+    )
+
+
+def marked(value: Column) -> Column:
+    """A value as text that tells missing from empty and ends before the next one."""
+    return F.concat(F.lit("\x1f"), F.coalesce(F.concat(F.lit("="), value), F.lit("-")))
+
+
+def cell_digests(cells: DataFrame) -> DataFrame:
+    """One row per column of a cell table, with the digests of its values."""
+    return digest_sums(cells, [*KEY, "ordinal", "column_name", "dtype"], marked(F.col("value")))
+
+
+def row_digests(fleet: Fleet) -> DataFrame:
+    """One row per dataset, with its columns and types and the digests of whole rows, so that values
+    mixed up between rows show. Only the column lists, one small row per dataset, are joined."""
+    fields = F.struct("ordinal", "store", "slot", "kind", F.concat_ws(":", "column_name", "dtype").alias("text"))
+    layout = fleet.columns.groupBy(*KEY).agg(F.array_sort(F.collect_list(fields)).alias("_columns"))
+
+    def value(c: Column) -> Column:
+        found = F.when(c["store"] == "longs", as_text(c["kind"], F.get("longs", c["slot"])))
+        for store in STORE_TYPES:
+            if store != "longs":
+                found = found.when(c["store"] == store, F.get(store, c["slot"]).cast("string"))
+        return marked(found)
+
+    rows = fleet.rows.drop("row_id", "target_store", "target_slot", "fingerprint").join(layout, KEY)
+    sums = digest_sums(rows, KEY, F.array_join(F.transform("_columns", value), ""))
+    none = F.lit(0).cast("bigint")
+    return layout.join(sums, KEY, "left").select(
+        *KEY,
+        F.array_join(F.transform("_columns", lambda c: c["text"]), ",").alias("columns"),
+        *[F.coalesce(c, none).alias(c) for c in ("n_rows", "digest_a", "digest_b")],
+    )

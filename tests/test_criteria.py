@@ -39,6 +39,10 @@ CASES = [
     ([cond("iid_assumed", "==", True)], ["d1", "d2", "d3", "d4"]),
     ([{"any_of": [[cond("task", "==", "regression")], [cond("n_instances", ">", 4000), cond("missing_rate", "<", 1)]]}], ["d2", "d4"]),
     ([cond("n_instances", "<", 6000), {"any_of": [[cond("n_features", "==", 10)], [cond("n_features", "==", 30)]]}], ["d1", "d4"]),
+    ([{"any_of": [[cond("n_features", "==", 10)], [cond("n_features", "==", 30)]]}, {"any_of": [[cond("n_instances", ">", 4000)], [cond("task", "==", "regression")]]}], ["d4"]),
+    ([{"any_of": [[cond("n_instances", "<", 500)], [cond("missing_rate", "<=", 0.05), {"any_of": [[cond("temporal", "==", True)], [cond("n_features", ">", 50)]]}]]}], ["d1", "d2"]),
+    ([{"any_of": []}], []),
+    ([{"any_of": [[]]}], ["d1", "d2", "d3", "d4"]),
 ]
 
 
@@ -55,6 +59,8 @@ def test_column_and_table_forms_agree(spark, metrics):
     as_set = lambda df: {tuple(r) for r in df.collect()}
     assert as_set(compiled) == as_set(joined.select("collection_id", "dataset_id", "passed"))
     assert len(as_set(compiled)) == len(specs) * len(METRICS)
+    passing = criteria.match_passing(metrics, specs).select("collection_id", "dataset_id")
+    assert as_set(passing) == {(c, d) for c, d, passed in as_set(compiled) if passed}
 
 
 def test_unknown_field_and_operator(metrics):
