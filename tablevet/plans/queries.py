@@ -288,6 +288,7 @@ def filter_unknown_field(spark, sf_dir):
 
 
 # The expression of a sample collection.
+# The sample collection as a text.
 SELECTION = (
     "task == 'classification' AND task_subtype == 'binary' AND missing_rate <= 0.05"
     " AND n_instances >= 500 AND n_instances <= 10000 AND n_features >= 5 AND n_features <= 100"
