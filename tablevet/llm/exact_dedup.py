@@ -164,9 +164,10 @@ def exact_dedup(
     rows = staged(digests(docs, id_col, text_col), "digests")
     history = rows.where(F.coalesce(is_history, F.lit(False)))
     news = rows.where(~F.coalesce(is_history, F.lit(False)))
-    old = staged(distinct_digests(history), "history")
-    n_buckets = max(1, -(-old.count() // per_bucket))
-    found = look_up(distinct_digests(news), build_table(old, n_buckets), n_buckets)
+    old, new = staged(distinct_digests(history), "history"), staged(distinct_digests(news), "news")
+    # A bucket bounds both sides of its lookup, however uneven history and news are.
+    n_buckets = max(1, -(-max(old.count(), new.count()) // per_bucket))
+    found = look_up(new, build_table(old, n_buckets), n_buckets)
     members = found.select(
         "digest",
         F.greatest("winner", "old_winner").alias("keep"),
