@@ -19,7 +19,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablevet.llm.common import Words, join_by_size, ship, text_slices
@@ -251,7 +251,7 @@ def keep_representatives(docs: DataFrame) -> DataFrame:
     Rows without an id cannot be told apart and all stay.
     """
     gone = near_duplicates(docs).where("locator <> component").select(F.col("locator").alias("doc_id"))
-    kept = docs.join(gone.distinct(), "doc_id", "left_anti").select(docs.columns)
-    again = Window.partitionBy("doc_id").orderBy("doc_id")
-    named = kept.withColumn("_again", F.row_number().over(again))
-    return named.where("_again = 1 or doc_id is null").select(docs.columns)
+    with_id = docs.where("doc_id is not null")  # rows without one never meet in one task
+    kept = with_id.join(gone.distinct(), "doc_id", "left_anti").select(docs.columns)
+    kept = kept.dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.where("doc_id is null"))
