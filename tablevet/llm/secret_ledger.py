@@ -52,15 +52,17 @@ RULES = (
     Rule("jwt", "eyJ[A-Za-z0-9_-]{8,}\\.eyJ[A-Za-z0-9_-]{8,}\\.[A-Za-z0-9_-]+"),
 )
 
+# A stored span names the rule version that found it, so a later version replaces it.
+FOUND = "struct<start:int,end:int,rule:string>"
 SPAN = "struct<start:int,kind_no:int,kind:string,end:int>"
-LEDGER = "blob binary, rules array<string>, spans array<struct<start:int,kind_no:int,kind:string,end:int>>"
+LEDGER = f"blob binary, rules array<string>, spans array<{FOUND}>"
 
 
 def address(text: Column) -> Column:
     return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
 
 
-def spans_of(text: Column, rule: Rule, number: int) -> Column:
+def spans_of(text: Column, rule: Rule) -> Column:
     """Spans of a rule in code points. The gaps between matches and the matches themselves give the
     places, so the text is searched once where nothing matches."""
     found = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
@@ -71,20 +73,18 @@ def spans_of(text: Column, rule: Rule, number: int) -> Column:
         F.transform(found, F.length).alias("hit"),
         F.transform(value, F.length).alias("value"),
     )
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("out"))
+    begin = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{FOUND}>").alias("out"))
 
     def step(state: Column, piece: Column) -> Column:
         start = state["at"] + piece["gap"]
         end = start + piece["hit"]
-        span = F.struct(
-            start.alias("start"), F.lit(number).alias("kind_no"), F.lit(rule.kind).alias("kind"), end.alias("end")
-        )
+        span = F.struct(start.alias("start"), end.alias("end"), F.lit(rule.name).alias("rule"))
         kept = piece["hit"].isNotNull() & (piece["value"] >= rule.least)
         out = F.when(kept, F.concat(state["out"], F.array(span))).otherwise(state["out"])
         return F.struct(F.coalesce(end, start).alias("at"), out.alias("out"))
 
     places = F.aggregate(pieces, begin, step, lambda state: state["out"])
-    return F.when(F.size(found) > 0, places).otherwise(F.array().cast(f"array<{SPAN}>"))
+    return F.when(F.size(found) > 0, places).otherwise(F.array().cast(f"array<{FOUND}>"))
 
 
 def ledger_table(spark: SparkSession, path: str) -> DataFrame:
@@ -102,14 +102,27 @@ def scan_unseen(blobs: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = R
     done = ledger.groupBy("blob").agg(F.flatten(F.collect_set("rules")).alias("done"))
     missing = F.array_except(names, F.coalesce("done", F.array().cast("array<string>")))
     open_ = blobs.join(done, "blob", "left").select("blob", "text", missing.alias("rules")).where("size(rules) > 0")
-    none = F.array().cast(f"array<{SPAN}>")
-    found = [
-        F.when(F.array_contains("rules", r.name), spans_of(F.col("text"), r, i)).otherwise(none)
-        for i, r in enumerate(rules)
-    ]
+    none = F.array().cast(f"array<{FOUND}>")
+    found = [F.when(F.array_contains("rules", r.name), spans_of(F.col("text"), r)).otherwise(none) for r in rules]
     return open_.select("blob", "rules", F.concat(*found).alias("spans"))
 
 
+def current_spans(ledger: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
+    """(blob, spans): what these versions of the rules found, in order; blobs without a finding are
+    left out. Findings of other versions stay in the ledger and are not reported."""
+    names = F.array(*[F.lit(r.name) for r in rules]).cast("array<string>")
+    kinds = F.array(*[F.lit(r.kind) for r in rules]).cast("array<string>")
+
+    def span(s: Column) -> Column:
+        number = (F.array_position(names, s["rule"]) - 1).cast("int")
+        return F.struct(s["start"].alias("start"), number.alias("kind_no"), F.get(kinds, number).alias("kind"), s["end"].alias("end"))
+
+    own = F.filter("spans", lambda s: F.array_contains(names, s["rule"])).alias("spans")
+    found = ledger.select("blob", own).where("size(spans) > 0").groupBy("blob")
+    found = found.agg(F.array_distinct(F.flatten(F.collect_list("spans"))).alias("spans"))
+    return found.select("blob", F.array_sort(F.transform("spans", span)).alias("spans"))
+
+
 def scan(
     docs: DataFrame, ledger_path: str, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -125,15 +138,7 @@ def scan(
     scan_unseen(blobs, ledger_table(spark, ledger_path), rules).write.mode("append").parquet(ledger_path)
 
     counts = paths.groupBy("blob").agg(F.count(F.lit(1)).alias("n"))
-    current = F.array(*[F.lit(r.name) for r in rules])
-    numbers = {r.kind: i for i, r in enumerate(rules)}
-    spans = (
-        ledger_table(spark, ledger_path)
-        .where(F.arrays_overlap("rules", current) & (F.size("spans") > 0))
-        .groupBy("blob")
-        .agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
-    )
-    spans = spans.select("blob", F.filter("spans", lambda s: s["kind"].isin(list(numbers))).alias("spans"))
+    spans = current_spans(ledger_table(spark, ledger_path), rules)
     findings = staged(spans.join(counts, "blob"), "findings")
     out = join_by_size(paths, findings, "blob", "n", paths.count())
     return out.select("doc_id", "blob", F.coalesce("spans", F.array().cast(f"array<{SPAN}>")).alias("spans"))

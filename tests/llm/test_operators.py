@@ -8,6 +8,7 @@ import zlib
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from tablevet.llm import (
     bpe,
@@ -62,6 +63,23 @@ def test_exact_dedup(stored):
     assert kept.count() == len(groups) and "fp" in kept.columns
 
 
+def test_exact_dedup_bounds_buckets_of_a_small_history(stored, monkeypatch):
+    seen = []
+    real = exact_dedup.look_up
+    monkeypatch.setattr(exact_dedup, "look_up", lambda a, b, n: seen.append(n) or real(a, b, n))
+    rows = [(-(10**6), "first")] + [(i, f"text {i}") for i in range(100)] + [(200, "FIRST")]
+    out = exact_dedup.exact_dedup(stored(rows), F.col("locator") < 0, per_bucket=10)
+    got = {r.locator: (r.keep, r.group_size) for r in out.collect()}
+    assert seen == [11]
+    assert got == {i: (i, 1) for i in range(100)} | {-(10**6): (200, 2), 200: (200, 2)}
+
+
+def test_near_duplicates_keep_rows_without_id_and_one_of_each_group(stored):
+    text = "a b c d e f g h"
+    kept = simhash.keep_representatives(stored([(4, text), (4, text), (7, text), (None, text), (None, text), (9, "other")]))
+    assert sorted(r.doc_id or -1 for r in kept.collect()) == [-1, -1, 4, 9]
+
+
 def test_perfect_hash_is_minimal_and_knows_strangers():
     raw = b"".join(hashlib.sha256(str(i).encode()).digest() for i in range(5000))
     levels, slots = exact_dedup.build_function(raw)
@@ -228,6 +246,11 @@ def test_secret_ledger_finds_masks_and_remembers(stored, spark, tmp_path):
     secret_ledger.scan(stored(rows), path, newer).count()
     added = secret_ledger.ledger_table(spark, path).where("array_contains(rules, 'hex@2')")
     assert added.count() == n and added.selectExpr("max(size(rules)) as m").first().m == 1
+    stricter = (*secret_ledger.RULES[:2], secret_ledger.Rule("hex", "[0-9a-f]{40,}", least=40, version=3))
+    found = {r.doc_id: [s.kind for s in r.spans] for r in secret_ledger.scan(stored(rows), path, stricter).collect()}
+    assert found[400] == ["assign", "access"]  # what an older version found is not reported
+    found = {r.doc_id: [s.kind for s in r.spans] for r in secret_ledger.scan(stored(rows), path).collect()}
+    assert found[400] == ["assign", "access", "hex"]
     masked = {r.doc_id: r.text for r in secret_ledger.keep_clean(stored(rows)).collect()}
     assert "0123456789abcdef" not in masked[400] and masked[400].startswith("é ") and masked[102] == dict(rows)[102]
 
