@@ -11,6 +11,11 @@ from pyspark.sql import types as T
 DTYPES = {"i": "int", "u": "int", "b": "bool", "f": "float", "d": "float", "s": "string", "t": "datetime"}
 STORES = {"i": "longs", "b": "longs", "f": "doubles", "u": "texts", "d": "texts", "s": "texts", "t": "texts"}
 STORE_TYPES = {"longs": "bigint", "doubles": "double", "texts": "string"}
+# Type of a column by kind, where none is declared.
+DECLARED = {
+    "i": "bigint", "u": "decimal(20,0)", "b": "boolean", "f": "double", "d": "double", "s": "string",
+    "t": "timestamp_ntz",
+}
 NUMERIC_DTYPES = ["int", "float"]
 
 INT_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
@@ -35,6 +40,11 @@ def kind_of(data_type: T.DataType) -> str | None:
     return None
 
 
+def declared_type(data_type: T.DataType) -> str:
+    """The type that gives a stored value back as it was."""
+    return "string" if kind_of(data_type) == "s" else data_type.simpleString()
+
+
 def present(value: Column, data_type: T.DataType) -> Column:
     """The value with NaN as NULL and -0.0 as 0.0."""
     if isinstance(data_type, FLOAT_TYPES):

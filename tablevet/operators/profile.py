@@ -57,7 +57,7 @@ def column_profile(fleet: Fleet) -> DataFrame:
     stats = reduce(DataFrame.unionByName, parts)
     return (
         fleet.columns.join(stats, [*KEY, "store", "slot"], "left")
-        .drop("kind", "store", "slot")
+        .drop("kind", "declared", "store", "slot")
         .na.fill(0, ["n_rows", "n_missing", "n_unique", "text_bytes"])
     )
 

@@ -299,6 +299,7 @@ def clean_fleet(fleet: Fleet, limits: Limits = Limits(), tasks: DataFrame | None
         "dtype",
         "is_target",
         "kind",
+        "declared",
         "store",
         (F.row_number().over(in_store) - 1).alias("slot"),
     )

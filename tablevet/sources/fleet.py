@@ -2,7 +2,7 @@
 
 ``rows``     collection_id, dataset_id, row_id, target_store, target_slot, longs, doubles, texts,
              fingerprint
-``columns``  collection_id, dataset_id, ordinal, column_name, dtype, is_target, kind, store, slot
+``columns``  collection_id, dataset_id, ordinal, column_name, dtype, is_target, kind, declared, store, slot
 
 A row keeps its values together, typed, in one array per store, so row-level work (missing targets,
 duplicates) needs no regrouping. Names and types stay out of the shuffles: ``columns`` is joined to
@@ -24,6 +24,7 @@ from tablevet.functions.values import (
     STORE_TYPES,
     STORES,
     as_text,
+    declared_type,
     fingerprint_sql,
     kind_of,
     stored_sql,
@@ -45,6 +46,7 @@ COLUMNS_SCHEMA = pa.schema(
         ("dtype", pa.string()),
         ("is_target", pa.bool_()),
         ("kind", pa.string()),
+        ("declared", pa.string()),
         ("store", pa.string()),
         ("slot", pa.int32()),
     ]
@@ -111,6 +113,7 @@ def to_fleet(
                 "dtype": DTYPES[kind],
                 "is_target": field.name == target,
                 "kind": kind,
+                "declared": declared_type(field.dataType),
                 "store": store,
                 "slot": len(held[store]),
             }

@@ -28,6 +28,15 @@ def test_wide_and_fleet_agree(spark, source, target):
     assert as_rows(restored) == as_rows(cleaned)
 
 
+def test_declared_types_come_back(spark):
+    df = spark.range(1).selectExpr(
+        "CAST('12345678901234567890.123456789012345678' AS DECIMAL(38,18)) AS d", "DATE '2020-02-29' AS day",
+        "TIMESTAMP_NTZ '2020-01-01 01:02:03.000004' AS at", "CAST(7 AS TINYINT) AS small", "CAST(0.5 AS FLOAT) AS f", "true AS y",
+    )
+    back = sinks.dataset_frame(to_fleet(df, "x"), "default", "x")
+    assert back.dtypes == df.dtypes and back.collect() == df.collect()
+
+
 def test_table_stats(spark):
     df = spark.range(2000).selectExpr(
         "id AS key", "concat('n', id) AS name", "CASE WHEN id > 0 THEN id END AS gap", "id % 1999 AS nearly",
