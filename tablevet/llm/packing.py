@@ -2,15 +2,16 @@
 
 Only lengths matter to a packing, and lengths are at most the capacity, so the search runs on a
 histogram: a few thousand counts, whatever the corpus. Around the largest length that is left it
-enumerates undominated fillings, takes them least waste first, as often as the counts allow, and
-backtracks while the waste so far could still lead to fewer sequences than the best packing known. The
-first dive is the best-fit packing and the first incumbent. The rows get their places by their rank
-within their length.
+enumerates undominated fillings, takes them least waste first, as often as the counts allow or less
+often, and backtracks while the waste so far could still lead to fewer sequences than the best packing
+known. The first incumbent is the best-fit-decreasing packing of the histogram. The rows get their
+places by their rank within their length.
 """
 
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,6 +27,8 @@ from tablevet.session import staged
 CAPACITY = 2048
 END_ID = 0
 SEARCH_NODES = 20_000
+SEARCH_STEPS = 6_000_000
+SORT_STEPS = 300
 
 Filling = tuple[tuple[int, int], ...]
 
@@ -79,64 +82,133 @@ def lower_bound(counts: np.ndarray, capacity: int) -> int:
     return best
 
 
-def fillings(counts: np.ndarray, sizes: list[int], room: int, most: int = 6, tries: int = 300) -> list[Filling]:
-    """Undominated fillings of ``room`` by the sizes in hand (descending), least waste first.
+def best_fit(histogram: dict[int, int], capacity: int) -> list[tuple[Filling, int]]:
+    """The best-fit-decreasing packing as (filling, times), from the histogram alone.
 
-    A filling is dominated if another size in hand fits besides, or can take the place of a smaller
-    member. The search stops at a perfect filling and after ``tries`` steps.
+    Bins of equal room and filling are one group. The tightest bin takes a length as often as it can
+    before another bin is tighter, so a length splits one group at most.
     """
-    found: dict[Filling, int] = {}
-    steps = 0
-
-    def grow(i: int, left: int, chosen: list[tuple[int, int]]) -> bool:
-        nonlocal steps
-        while i < len(sizes) and sizes[i] > left:
-            i += 1
-        if i == len(sizes):
-            used = dict(chosen)
-            for size, _ in chosen:
-                for other in sizes:
-                    if other <= size:
-                        break
-                    if other - size <= left and counts[other] > used.get(other, 0):
-                        return False
-            found[tuple(chosen)] = left
-            return left == 0
-        for k in range(i, len(sizes)):
-            steps += 1
-            if steps > tries and found:
-                return False
-            size = sizes[k]
-            times = min(int(counts[size]), left // size)
-            if grow(k + 1, left - times * size, [*chosen, (size, times)]):
+    rooms: dict[int, list[tuple[Filling, int]]] = {}
+    for size in sorted(histogram, reverse=True):
+        n = histogram[size]
+        fit = [(room, g) for room in sorted(r for r in rooms if r >= size) for g in rooms.pop(room)]
+        fit.append((capacity, ((), n)))
+        for room, (filling, bins) in fit:
+            most = room // size
+            full = min(bins, n // most)
+            over = n - full * most if bins > full else 0
+            n -= full * most + over
+            for times, each in ((full, most), (min(over, 1), over), (bins - full - min(over, 1), 0)):
+                if times and (filling or each):
+                    grown = (*filling, (size, each)) if each else filling
+                    rooms.setdefault(room - each * size, []).append((grown, times))
+    return [group for room in sorted(rooms) for group in rooms[room]]
+
+
+def fillings(counts: np.ndarray, room: int, budget: list[int], sort_steps: int = SORT_STEPS) -> Iterator[Filling]:
+    """All undominated fillings of ``room`` by the lengths in ``counts``, made as they are asked for.
+
+    A filling is dominated if another length in hand fits besides, or can take the place of a smaller
+    member; one length that fills the room dominates all others. Perfect fillings come at once, others
+    by waste among those of the same ``sort_steps`` steps. Steps are taken off ``budget``; it ends early
+    only where that is used up.
+    """
+    if room <= 0 or counts[room]:
+        yield ((room, 1),) if room > 0 else ()
+        return
+    sizes = [int(s) for s in np.flatnonzero(counts[: room + 1])[::-1]]
+    have = [int(counts[s]) for s in sizes]
+    used = [0] * len(sizes)
+
+    def dominated(left: int) -> bool:
+        for k in range(len(sizes) - 1, -1, -1):
+            if sizes[k] > left:
+                break
+            if have[k] > used[k]:
                 return True
+        for k in chosen:
+            j = k - 1
+            while j >= 0 and sizes[j] - sizes[k] <= left:
+                if have[j] > used[j]:
+                    return True
+                j -= 1
         return False
 
-    grow(0, room, [])
-    return sorted(found, key=lambda f: (found[f], len(f)))[:most] or [()]
+    chosen: list[int] = []
+    found: list[tuple[int, Filling]] = []
+    k, left, steps = 0, room, 0
+    while True:
+        steps += 1
+        if k < len(sizes) and sizes[k] > left:
+            k = bisect_left(sizes, -left, k, key=lambda s: -s)
+        if k < len(sizes):  # the next length as often as it can
+            used[k] = min(have[k], left // sizes[k])
+            left -= used[k] * sizes[k]
+            chosen.append(k)
+            k += 1
+            continue
+        if not dominated(left):
+            filling = tuple((sizes[c], used[c]) for c in chosen)
+            if left:
+                found.append((left, filling))
+            else:
+                yield filling
+        if steps >= sort_steps and found:
+            budget[0] -= steps
+            steps = 0
+            yield from (f for _, f in sorted(found, key=lambda f: (f[0], len(f[1]))))
+            found = []
+        elif steps >= sort_steps:
+            budget[0] -= steps
+            steps = 0
+        if budget[0] <= 0 or not chosen:
+            break
+        k = chosen[-1] + 1  # the last length once less
+        used[k - 1] -= 1
+        left += sizes[k - 1]
+        if not used[k - 1]:
+            chosen.pop()
+    budget[0] -= steps
+    yield from (f for _, f in sorted(found, key=lambda f: (f[0], len(f[1]))))
+
 
+def complete_bins(
+    histogram: dict[int, int], capacity: int = CAPACITY, nodes: int = SEARCH_NODES, steps: int = SEARCH_STEPS
+) -> list[tuple[Filling, int]]:
+    """A packing as (filling, times). Branch and bound over fillings around the largest length.
 
-def complete_bins(histogram: dict[int, int], capacity: int = CAPACITY, nodes: int = SEARCH_NODES) -> list[tuple[Filling, int]]:
-    """A packing as (filling, times). Branch and bound over fillings around the largest length."""
+    A filling is tried as often as the counts allow, then half as often and so on down to once, which
+    reaches every packing of undominated fillings. The result is the best of all packings if the search
+    ends or meets the lower bound; after ``nodes`` choices or ``steps`` steps of the enumeration it is
+    the best one seen, never worse than best-fit-decreasing.
+    """
     counts = np.zeros(capacity + 1, np.int64)
     for size, n in histogram.items():
         counts[size] = n
     total = int((counts * np.arange(capacity + 1)).sum())
     goal = lower_bound(counts, capacity)
-    best: list[tuple[Filling, int]] | None = None
-    best_bins = bins = waste = visited = 0
+    best = best_fit({size: n for size, n in histogram.items() if n}, capacity)
+    best_bins = sum(times for _, times in best)
+    bins = waste = visited = 0
+    budget = [steps]
     path: list[tuple[Filling, int]] = []
-    stack: list[list[Filling]] = []
-
-    def choices() -> list[Filling]:
-        sizes = [int(s) for s in np.flatnonzero(counts)[::-1]]
-        if not sizes:
-            return []
-        large = sizes[0]
-        counts[large] -= 1
-        out = fillings(counts, [s for s in sizes if counts[s]], capacity - large)
-        counts[large] += 1
-        return [tuple(sorted(_merged(((large, 1), *f)), reverse=True)) for f in out]
+    stack: list[Iterator[tuple[Filling, int]]] = []
+    least: dict[bytes, int] = {}  # fewest sequences before a state of few lengths
+
+    def choices() -> Iterator[tuple[Filling, int]]:
+        large = int(np.flatnonzero(counts)[-1])
+        rest = counts.copy()
+        rest[large] -= 1
+        later = []
+        for f in fillings(rest, capacity - large, budget):
+            filling = tuple(sorted(_merged(((large, 1), *f)), reverse=True))
+            times = min(int(counts[s]) // c for s, c in filling)
+            if times > 1:
+                later.append((filling, times // 2))
+            yield filling, times
+        while later:
+            yield from later
+            later = [(filling, times // 2) for filling, times in later if times > 1]
 
     def undo() -> None:
         nonlocal bins, waste
@@ -146,33 +218,44 @@ def complete_bins(histogram: dict[int, int], capacity: int = CAPACITY, nodes: in
         for s, c in filling:
             counts[s] += c * times
 
-    stack.append(choices())
-    while stack:
-        if not stack[-1]:
+    def seen() -> bool:
+        left = np.flatnonzero(counts)
+        if len(left) > 64:
+            return False
+        state = np.concatenate([left, counts[left]]).tobytes()
+        if least.get(state, bins + 1) <= bins:
+            return True
+        least[state] = bins
+        return False
+
+    if best_bins > goal:
+        stack.append(choices())
+    while stack and visited < nodes and budget[0] > 0:
+        choice = next(stack[-1], None)
+        if choice is None:
             stack.pop()
             if path:
                 undo()
             continue
-        filling = stack[-1].pop(0)
+        filling, times = choice
         visited += 1
-        times = min(int(counts[s]) // c for s, c in filling)
         for s, c in filling:
             counts[s] -= c * times
         path.append((filling, times))
         bins += times
         waste += times * (capacity - sum(s * c for s, c in filling))
-        if best is not None and -(-(total + waste) // capacity) >= best_bins:
+        if -(-(total + waste) // capacity) >= best_bins:
             undo()
         elif not counts.any():
             best, best_bins = list(path), bins
             if bins <= goal:
                 break
             undo()
+        elif seen():
+            undo()
         else:
             stack.append(choices())
-        if best is not None and visited > nodes:
-            break
-    return best or []
+    return best
 
 
 def _merged(filling: tuple[tuple[int, int], ...]) -> list[tuple[int, int]]:
