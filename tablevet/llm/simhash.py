@@ -246,12 +246,18 @@ def near_duplicate_report(docs: DataFrame) -> DataFrame:
 
 
 def keep_representatives(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, with all columns: one per component, the smallest id.
+    """The rows of ``docs`` that stay, with all columns: one per component, of the smallest id and then
+    the first of its rows.
 
-    Rows without an id cannot be told apart and all stay.
+    Rows are named by a staged number, so rows that share an id but not a text are judged each by its
+    own component. Rows without an id all stay, but they link what they resemble.
     """
-    gone = near_duplicates(docs).where("locator <> component").select(F.col("locator").alias("doc_id"))
-    with_id = docs.where("doc_id is not null")  # rows without one never meet in one task
-    kept = with_id.join(gone.distinct(), "doc_id", "left_anti").select(docs.columns)
-    kept = kept.dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null"))
+    rows = staged(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    parts = near_duplicates(rows, "_row").select(F.col("locator").alias("_row"), "component")
+    with_id = rows.where("doc_id is not null")  # rows without one never meet in one task
+    least = parts.join(with_id.select("_row", "doc_id"), "_row").groupBy("component").agg(
+        F.min(F.struct("doc_id", "_row")).alias("least")
+    )
+    stays = staged(least.select("least._row"), "stays")
+    kept = with_id.join(stays, "_row", "left_semi").select(docs.columns)
+    return kept.unionByName(rows.where("doc_id is null").select(docs.columns))

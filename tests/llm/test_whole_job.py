@@ -6,7 +6,7 @@ from functools import lru_cache
 import numpy as np
 import pytest
 
-from tablevet.llm import packing
+from tablevet.llm import packing, simhash
 
 
 def fewest(sizes, capacity):
@@ -64,3 +64,23 @@ def test_bin_completion_of_repeated_lengths_meets_exhaustive_search(seed):
     assert used_by(cut_short, 20) == histogram
     # Without any search it is the best-fit-decreasing packing.
     assert sum(t for _, t in cut_short) == len(bins)
+
+
+def test_near_duplicates_of_repeated_ids_are_judged_by_their_own_text(stored):
+    rng = random.Random(7)
+    a, b, c, d = (" ".join(rng.choice("abcdefghij") * 3 + str(rng.randrange(99)) for _ in range(300)) for _ in range(4))
+    near = a + " tail"
+    rows = [
+        (1, a), (5, near),  # near each other: 1 stays
+        (5, b),  # shares the loser's id, near nothing
+        (7, c), (7, d),  # one id, unrelated texts
+        (7, c),  # a copy of id and text
+        (None, d), (None, a),  # rows without an id stay
+        (9, ""), (9, None), (8, " "),  # no words: one component
+    ]
+    got = [(r.doc_id, r.text) for r in simhash.keep_representatives(stored(rows)).collect()]
+    want = [(1, a), (5, b), (7, c), (7, d), (None, d), (None, a), (8, " ")]
+    fps = {r.locator: r.fp % 2**64 for r in simhash.fingerprints(stored([(i, t) for i, t in enumerate([a, near, b, c, d])])).collect()}
+    assert (fps[0] ^ fps[1]).bit_count() <= 4 < min((fps[i] ^ fps[j]).bit_count() for i in range(2, 5) for j in range(i))
+    # Row 7 of text d and the row without id of that text share a component, in which 7 has the smallest id.
+    assert sorted(got, key=repr) == sorted(want, key=repr)
