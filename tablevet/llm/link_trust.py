@@ -22,7 +22,7 @@ RULES = (
     ("com", "/de/", "block"),
 )
 DAMPING = 0.85
-ROUNDS = 10
+TOLERANCE = 1e-9
 LINK = "(?i)href\\s*=\\s*[\"']?\\s*(?:https?:)?//([^/?#\"'\\s>]+)"
 
 
@@ -56,11 +56,14 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return links.groupBy("src", "dst").agg(F.count(F.lit(1)).cast("double").alias("links"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
     """(host, trust, distrust) from ``seeds`` (host, trust, distrust), one row per host.
 
     Trust of a host is shared among the hosts it links to, by number of links; distrust among the
-    hosts that link to it. Each round is a written table.
+    hosts that link to it. Each round is a written table. Rounds go on until no host gets its first
+    trust or distrust and the sum of all changes is at most ``tolerance`` times the seeds' weight, so
+    what is missing is at most damping / (1 - damping) times that. Values never fall from round to
+    round, so sums and counts tell both.
     """
     out = edges.groupBy("src").agg(F.sum("links").alias("out"))
     into = edges.groupBy("dst").agg(F.sum("links").alias("into"))
@@ -72,8 +75,16 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, roun
     start = staged(seeds.select("host", ((1 - damping) * F.col("trust")).alias("trust"), ((1 - damping) * F.col("distrust")).alias("distrust")), "seeds")
     if edges.isEmpty():
         return start
-    ranks = start
-    for _ in range(rounds):
+
+    def state(ranks: DataFrame):
+        weight = F.coalesce(F.sum(F.col("trust") + F.col("distrust")), F.lit(0.0))
+        return ranks.agg(
+            F.count_if(F.col("trust") > 0).alias("trusted"), F.count_if(F.col("distrust") > 0).alias("distrusted"), weight.alias("weight")
+        ).first()
+
+    ranks, before = start, state(start)
+    least = tolerance * before["weight"] / (1 - damping)
+    while True:
         ahead = edges.join(ranks, F.col("src") == F.col("host")).select(
             F.col("dst").alias("host"), (damping * F.col("trust") * F.col("ahead")).alias("trust"), F.lit(0.0).alias("distrust")
         )
@@ -82,7 +93,11 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, roun
         )
         sums = start.unionByName(ahead).unionByName(back).groupBy("host")
         ranks = staged(sums.agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust")), "ranks")
-    return ranks
+        now = state(ranks)
+        grown = now["trusted"] > before["trusted"] or now["distrusted"] > before["distrusted"]
+        if not grown and now["weight"] - before["weight"] <= least:
+            return ranks
+        before = now
 
 
 def filter_urls(pages: DataFrame, rules=RULES) -> DataFrame:

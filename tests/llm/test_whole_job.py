@@ -6,7 +6,7 @@ from functools import lru_cache
 import numpy as np
 import pytest
 
-from tablevet.llm import packing, simhash
+from tablevet.llm import link_trust, packing, simhash
 
 
 def fewest(sizes, capacity):
@@ -84,3 +84,18 @@ def test_near_duplicates_of_repeated_ids_are_judged_by_their_own_text(stored):
     assert (fps[0] ^ fps[1]).bit_count() <= 4 < min((fps[i] ^ fps[j]).bit_count() for i in range(2, 5) for j in range(i))
     # Row 7 of text d and the row without id of that text share a component, in which 7 has the smallest id.
     assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+def test_url_filter_follows_long_chains_and_converges(stored, spark):
+    pages = [(k, f"http://h{k}.net/", f"<a href=http://h{k + 1}.net/>") for k in range(13)]
+    pages[12] = (12, "http://h12.net/", "<a href=http://bad.com/de/>")
+    pages += [(13, "http://bad.com/de/", None), (14, "http://alone.net/", "")]
+    df = stored(pages, "page_id bigint, url string, html string")
+    got = {r.page_id: r.verdict for r in link_trust.filter_urls(df).collect()}
+    assert got == {k: "block" for k in range(14)} | {14: "allow"}
+
+    edges = spark.createDataFrame([("a", "b", 1.0), ("b", "a", 3.0), ("b", "c", 1.0)], "src string, dst string, links double")
+    seeds = spark.createDataFrame([("a", 1.0, 0.0)], "host string, trust double, distrust double")
+    ranks = {r.host: r.trust for r in link_trust.propagate(edges, seeds, damping=0.5, tolerance=1e-6).collect()}
+    a = 0.5 / (1 - 0.5 * 0.5 * 0.75)
+    assert ranks == pytest.approx({"a": a, "b": a / 2, "c": a / 16}, abs=1e-5)
