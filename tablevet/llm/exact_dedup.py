@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablevet.llm.common import ascii_lower, join_by_size, mixed, ship
@@ -200,20 +200,19 @@ def dedup_report(docs: DataFrame) -> DataFrame:
 def keep_winners(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all columns: exactly one per group of equal texts.
 
-    Rows are named by id and digest, so neither a hot text nor a hot id gathers in one task.
+    Rows are named by id and digest, and by a staged number where these repeat. The smallest number of a
+    name is found by an aggregate over names and numbers alone, which folds before the shuffle, so
+    neither a hot text, a hot id nor a hot pair of both gathers in one task.
     """
+    rows = staged(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
 
     def name(id_col: str, digest):
         return F.concat(digest, F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary"))
 
-    stays = dedup_report(docs).where("kept")
+    stays = dedup_report(rows).where("kept")
     names = stays.select(name("doc_id", F.unhex("text_sha256")).alias("_name")).distinct()
     normalised = ascii_lower(F.coalesce(F.col("text"), F.lit("")))
-    named = docs.withColumn("_name", name("doc_id", F.unhex(F.sha2(normalised, 256))))
-    again = Window.partitionBy("_name").orderBy("_name")
-    return (
-        named.join(names, "_name", "left_semi")
-        .withColumn("_again", F.row_number().over(again))
-        .where("_again = 1")
-        .select(docs.columns)
-    )
+    named = rows.select("_row", name("doc_id", F.unhex(F.sha2(normalised, 256))).alias("_name"))
+    first = named.groupBy("_name").agg(F.min("_row").alias("_row"))
+    winners = staged(first.join(names, "_name", "left_semi").select("_row"), "winners")
+    return rows.join(winners, "_row", "left_semi").select(docs.columns)

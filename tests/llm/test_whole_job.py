@@ -6,7 +6,7 @@ from functools import lru_cache
 import numpy as np
 import pytest
 
-from tablevet.llm import link_trust, packing, simhash
+from tablevet.llm import exact_dedup, link_trust, packing, simhash
 
 
 def fewest(sizes, capacity):
@@ -99,3 +99,11 @@ def test_url_filter_follows_long_chains_and_converges(stored, spark):
     ranks = {r.host: r.trust for r in link_trust.propagate(edges, seeds, damping=0.5, tolerance=1e-6).collect()}
     a = 0.5 / (1 - 0.5 * 0.5 * 0.75)
     assert ranks == pytest.approx({"a": a, "b": a / 2, "c": a / 16}, abs=1e-5)
+
+
+def test_exact_dedup_folds_copies_of_id_and_text_before_the_shuffle(stored):
+    rows = [(1, "Same")] * 50 + [(None, "none")] * 50 + [(2, "same"), (2, "other"), (3, None), (3, "")]
+    kept = exact_dedup.keep_winners(stored(rows))
+    assert "Window" not in kept._jdf.queryExecution().toString()
+    got = [(r.doc_id, r.text or "") for r in kept.collect()]
+    assert sorted(got, key=repr) == sorted([(None, "none"), (2, "same"), (2, "other"), (3, "")], key=repr)
