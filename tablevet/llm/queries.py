@@ -12,8 +12,10 @@ from tablevet.llm import (
     decision_list,
     exact_dedup,
     factorization,
+    jaccard_regions,
     link_trust,
     packing,
+    periodic_runs,
     secret_ledger,
     simhash,
     suffix_dedup,
@@ -92,6 +94,16 @@ def op10_url_filter(spark, sf_dir):
     return link_trust.filter_urls(load(spark, sf_dir, "pages"))
 
 
+@query
+def op12_jaccard_join(spark, sf_dir):
+    return jaccard_regions.jaccard_report(load(spark, sf_dir, "documents"))
+
+
+@query
+def op13_periodic_runs(spark, sf_dir):
+    return periodic_runs.run_report(load(spark, sf_dir, "documents"))
+
+
 ORACLE = {
     "op2_exact_dedup": """
         WITH d AS (
