@@ -16,6 +16,7 @@ from tablevet.llm import (
     link_trust,
     packing,
     periodic_runs,
+    phrase_index,
     secret_ledger,
     simhash,
     suffix_dedup,
@@ -94,6 +95,11 @@ def op10_url_filter(spark, sf_dir):
     return link_trust.filter_urls(load(spark, sf_dir, "pages"))
 
 
+@query
+def op11_phrase_mining(spark, sf_dir):
+    return phrase_index.collocations(load(spark, sf_dir, "documents"))
+
+
 @query
 def op12_jaccard_join(spark, sf_dir):
     return jaccard_regions.jaccard_report(load(spark, sf_dir, "documents"))
@@ -117,4 +123,69 @@ ORACLE = {
                text_sha256
         FROM d
     """,
+    "op11_phrase_mining": """
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang,
+                   unnest(regexp_split_to_array(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[.,;:!?\\x0A-\\x0D]')) AS piece
+            FROM documents),
+        words AS (
+            SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS w FROM pieces),
+        placed AS (
+            SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM words, (VALUES (1), (2), (3), (4)) AS t(k)),
+        f AS (
+            SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f
+            FROM placed GROUP BY ALL HAVING count(*) >= 30),
+        cuts AS (
+            SELECT f.lang, phrase, f AS a, c.k,
+                   array_to_string(string_split(phrase, ' ')[1:c.k], ' ') AS head,
+                   array_to_string(string_split(phrase, ' ')[c.k + 1:], ' ') AS tail
+            FROM f JOIN (VALUES (1), (2), (3)) AS c(k) ON c.k < f.k),
+        weakest AS (
+            SELECT cuts.lang, cuts.phrase, a, h.f AS l, t.f AS r,
+                   CAST(2000000::HUGEINT * a // (h.f + t.f) AS BIGINT) AS score
+            FROM cuts
+            JOIN f h ON h.lang = cuts.lang AND h.phrase = cuts.head
+            JOIN f t ON t.lang = cuts.lang AND t.phrase = cuts.tail
+            QUALIFY row_number() OVER (PARTITION BY cuts.lang, cuts.phrase ORDER BY score, cuts.k) = 1),
+        longer AS (
+            SELECT lang, array_to_string(string_split(phrase, ' ')[begin_:begin_ + size - 1], ' ') AS phrase, max(f) AS f
+            FROM f, (VALUES (2), (3)) AS s(size), (VALUES (1), (2), (3)) AS p(begin_)
+            WHERE size < k AND begin_ + size - 1 <= k GROUP BY ALL),
+        totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang)
+        SELECT weakest.lang,
+               row_number() OVER (PARTITION BY weakest.lang ORDER BY score DESC, a DESC, weakest.phrase) AS rank,
+               weakest.phrase, a, l, r, n, score
+        FROM weakest JOIN totals USING (lang)
+        LEFT JOIN longer ON longer.lang = weakest.lang AND longer.phrase = weakest.phrase
+        WHERE longer.f IS NULL OR 100 * longer.f < 80 * a
+        QUALIFY rank <= 2000
+    """,
+    "op12_jaccard_join": """
+        WITH RECURSIVE words AS (
+            SELECT doc_id,
+                   list_filter(regexp_split_to_array(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+            FROM documents),
+        shingles AS (
+            SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS s
+            FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, least(len(w), 1)) + 1)) AS i FROM words)),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        common AS (
+            SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n
+            FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+        links AS (
+            SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+            WHERE 100 * common.n >= 85 * (p.n + q.n - common.n)),
+        paired AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+        reach AS (
+            SELECT doc_id AS x, doc_id AS y FROM words
+            UNION
+            SELECT reach.x, paired.y FROM reach JOIN paired ON paired.x = reach.y)
+        SELECT words.doc_id, coalesce(max(sizes.n), 0) AS n_shingles, min(reach.y) AS component_id
+        FROM words JOIN reach ON reach.x = words.doc_id LEFT JOIN sizes ON sizes.doc_id = words.doc_id
+        GROUP BY words.doc_id
+    """,
 }
