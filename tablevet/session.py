@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +28,38 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         if master != "local" and not master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = _own_root()
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    for made in _noted:
+        made.append(path)
+    return path
+
+
+_noted: list[list[str]] = []
+
+
+@contextmanager
+def noted_paths() -> Iterator[list[str]]:
+    """The scratch paths that are given out inside the block."""
+    made: list[str] = []
+    _noted.append(made)
+    try:
+        yield made
+    finally:
+        _noted[:] = [other for other in _noted if other is not made]
+
+
+def release(spark: SparkSession, paths: list[str], reader: DataFrame) -> list[str]:
+    """Delete scratch paths that ``reader`` does not read; returns those that it does."""
+    files = [f.split(":", 1)[-1].lstrip("/") for f in reader.inputFiles()] if paths else []
+    kept = []
+    for path in paths:
+        bare = path.split(":", 1)[-1].strip("/") + "/"
+        if any(f.startswith(bare) for f in files):
+            kept.append(path)
+            continue
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    return kept
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
