@@ -10,9 +10,12 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablevet.session import staged
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SPACES = bytes([0x20, *range(0x09, 0x0E)])
 IS_SPACE = np.isin(np.arange(256), list(SPACES))
@@ -125,6 +128,47 @@ class Words:
         return total[self.begin + self.lengths] - total[self.begin]
 
 
+# Row addresses are broadcast up to this number; 16 bytes each, so some 100 MB as a hash table.
+BROADCAST_ROWS = 1_000_000
+
+
+def spare_names(df: DataFrame, *names: str) -> list[str]:
+    """Names longer than that of any column, so that no column of a user is in the way."""
+    tail = "_" * max(map(len, df.columns), default=0)
+    return [f"_{name}{tail}" for name in names]
+
+
+def addressed(docs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """``docs`` with two columns that name a row the same at every reading, and their names.
+
+    A scan of Parquet files knows the file and the place of each row in it. Other frames are written
+    first, because their rows may come in another order when they are computed again.
+    """
+    for source in (docs, None):
+        if source is None:
+            source = staged(docs, "rows")
+        names = spare_names(source, "file", "place")
+        try:
+            where = source.metadataColumn("_metadata")
+            out = source.select("*", F.xxhash64(where["file_path"]).alias(names[0]), where["row_index"].alias(names[1]))
+            out.schema  # fails here where there is no such thing
+        except AnalysisException:
+            continue
+        return out, names
+    raise RuntimeError("written rows have no address")
+
+
+def by_address(rows: DataFrame, keys: list[str], chosen: DataFrame, how: str) -> DataFrame:
+    """``rows`` joined ``left_semi`` or ``left_anti`` to the addresses of ``chosen``.
+
+    Few addresses are broadcast, after they were counted, and no text moves; beyond BROADCAST_ROWS Spark
+    chooses the join.
+    """
+    chosen = chosen.select(*keys)
+    side = F.broadcast(chosen) if chosen.count() <= BROADCAST_ROWS else chosen
+    return rows.join(side, keys, how)
+
+
 def join_by_size(left: DataFrame, right: DataFrame, key: str, size: str, total: int) -> DataFrame:
     """Left join on ``key`` where ``right`` has one row per key and ``size`` left rows belong to it.
 

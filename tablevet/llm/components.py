@@ -5,27 +5,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablevet.llm.common import join_by_size
 from tablevet.session import staged
 
 
+def with_least(links: DataFrame, least: DataFrame) -> DataFrame:
+    """Links (a, b) with ``m`` of their node a; ``least`` has one row per node and its number of links."""
+    least = staged(least, "least")
+    return join_by_size(links, least, "a", "n", least.agg(F.sum("n")).first()[0] or 0)
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of the edges (a, b); root is the smallest node reachable.
 
     Alternates two rewritings until nothing changes: every neighbour that is larger than a node is
     linked to the smallest neighbour of that node, then every neighbour that is smaller. Both keep
     the components and turn them into stars around their smallest node in about log(n) rounds.
-    Each round is a written table, so plans stay short and a lost executor costs one re-read.
+    Each round is a written table, so plans stay short and a lost executor costs one re-read. A node with
+    many neighbours meets its smallest one in a broadcast of such nodes, so its rows never gather.
     """
     links = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     links = staged(links.where("a <> b").distinct(), "links")
     before = None
     while True:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count(F.lit(1)).alias("n"))
+        large = with_least(both, least).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = large.where("a <> b").distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a")
+        large = staged(large, "large")
+        least = large.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n"))
+        small = with_least(large, least)
         small = small.select("a", F.col("m").alias("b")).unionByName(
             small.select(F.col("b").alias("a"), F.col("m").alias("b"))
         )

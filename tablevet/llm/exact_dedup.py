@@ -12,14 +12,12 @@ slot, so n digests have exactly the slots 0 to n - 1.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablevet.llm.common import ascii_lower, join_by_size, mixed, ship
+from tablevet.llm.common import addressed, ascii_lower, by_address, join_by_size, mixed, ship
 from tablevet.session import staged
 
 TABLE_SCHEMA = "bucket bigint, levels array<binary>, digests binary, winners array<bigint>, sizes array<bigint>"
@@ -94,23 +92,23 @@ def find_slots(levels: list[bytes], raw: bytes) -> np.ndarray:
 def build_table(distinct: DataFrame, n_buckets: int) -> DataFrame:
     """The history as one row per bucket. ``distinct`` comes from ``distinct_digests``."""
 
-    def build(pdf: pd.DataFrame) -> pd.DataFrame:
-        raw = b"".join(pdf["digest"])
+    def build(rows: pa.Table) -> pa.Table:
+        raw = b"".join(rows["digest"].to_pylist())
         levels, slots = build_function(raw)
-        order = np.argsort(slots)
-        rows = np.frombuffer(raw, np.uint8).reshape(-1, 32)
-        return pd.DataFrame(
+        order = pa.array(np.argsort(slots))
+        digests = np.frombuffer(raw, np.uint8).reshape(-1, 32)[order.to_numpy()]
+        return pa.table(
             {
-                "bucket": [int(pdf["bucket"].iat[0])],
-                "levels": [levels],
-                "digests": [rows[order].tobytes()],
-                "winners": [[None if pd.isna(v) else int(v) for v in pdf["winner"].iloc[order]]],
-                "sizes": [pdf["n"].to_numpy()[order].tolist()],
+                "bucket": pa.array([rows["bucket"][0].as_py()], pa.int64()),
+                "levels": pa.array([levels], pa.list_(pa.binary())),
+                "digests": pa.array([digests.tobytes()], pa.binary()),
+                "winners": pa.array([rows["winner"].take(order).to_pylist()], pa.list_(pa.int64())),
+                "sizes": pa.array([rows["n"].take(order).to_pylist()], pa.list_(pa.int64())),
             }
         )
 
     keyed = distinct.select(bucket_of(n_buckets), "digest", "winner", "n")
-    return keyed.groupBy("bucket").applyInPandas(build, TABLE_SCHEMA)
+    return keyed.groupBy("bucket").applyInArrow(build, TABLE_SCHEMA)
 
 
 def look_up(distinct: DataFrame, table: DataFrame, n_buckets: int) -> DataFrame:
@@ -120,26 +118,23 @@ def look_up(distinct: DataFrame, table: DataFrame, n_buckets: int) -> DataFrame:
     whole digest, so a function that maps a stranger to some slot never makes it a member.
     """
 
-    def probe(key, new: pd.DataFrame, old: pd.DataFrame) -> pd.DataFrame:
-        out = new[["digest", "winner", "n"]].copy()
-        out["winner"] = out["winner"].astype("Int64")
-        winners = np.full(len(new), None, object)
-        sizes = np.full(len(new), None, object)
-        if len(old) and len(new):
-            raw = b"".join(new["digest"])
-            slots = find_slots(list(old["levels"].iat[0]), raw)
-            stored = np.frombuffer(old["digests"].iat[0], np.uint8).reshape(-1, 32)
+    def probe(new: pa.Table, old: pa.Table) -> pa.Table:
+        found = np.full(new.num_rows, -1, np.int64)
+        winners, sizes = pa.array([], pa.int64()), pa.array([], pa.int64())
+        if old.num_rows and new.num_rows:
+            raw = b"".join(new["digest"].to_pylist())
+            slots = find_slots(old["levels"][0].as_py(), raw)
+            stored = np.frombuffer(old["digests"][0].as_py(), np.uint8).reshape(-1, 32)
             hit = np.flatnonzero(slots >= 0)
             same = (stored[slots[hit]] == np.frombuffer(raw, np.uint8).reshape(-1, 32)[hit]).all(axis=1)
-            hit = hit[same]
-            winners[hit] = np.array([None if v is None or v != v else int(v) for v in old["winners"].iat[0]], object)[slots[hit]]
-            sizes[hit] = np.array([int(v) for v in old["sizes"].iat[0]], object)[slots[hit]]
-        out["old_winner"] = pd.array(winners, "Int64")
-        out["old_n"] = pd.array(sizes, "Int64")
-        return out
+            found[hit[same]] = slots[hit[same]]
+            winners, sizes = old["winners"][0].values, old["sizes"][0].values
+        # Whole numbers stay so beside nulls: a missing slot takes a null.
+        at = pa.array(found, mask=found < 0)
+        return new.select(["digest", "winner", "n"]).append_column("old_winner", winners.take(at)).append_column("old_n", sizes.take(at))
 
     keyed = distinct.select(bucket_of(n_buckets), "digest", "winner", "n")
-    return keyed.groupBy("bucket").cogroup(table.groupBy("bucket")).applyInPandas(
+    return keyed.groupBy("bucket").cogroup(table.groupBy("bucket")).applyInArrow(
         probe, "digest binary, winner bigint, n bigint, old_winner bigint, old_n bigint"
     )
 
@@ -162,6 +157,12 @@ def exact_dedup(
     Copies fold into one digest row before any lookup, so the largest group costs a bucket one row.
     """
     rows = staged(digests(docs, id_col, text_col), "digests")
+    groups = equal_groups(rows, is_history, per_bucket)
+    return join_by_size(rows, groups, "digest", "group_size", rows.count())
+
+
+def equal_groups(rows: DataFrame, is_history: Column, per_bucket: int = 4096) -> DataFrame:
+    """(digest, keep, group_size) of a stored table of locators and digests, by lookups in the history."""
     history = rows.where(F.coalesce(is_history, F.lit(False)))
     news = rows.where(~F.coalesce(is_history, F.lit(False)))
     old, new = staged(distinct_digests(history), "history"), staged(distinct_digests(news), "news")
@@ -177,8 +178,14 @@ def exact_dedup(
     untouched = old.join(members.select("digest"), "digest", "left_anti").select(
         "digest", F.col("winner").alias("keep"), F.col("n").alias("group_size")
     )
-    groups = staged(members.unionByName(untouched), "groups")
-    return join_by_size(rows, groups, "digest", "group_size", rows.count())
+    return staged(members.unionByName(untouched), "groups")
+
+
+def lower_half(rows: DataFrame, id_col: str) -> Column:
+    """Whether a row's locator is in the lower half of the id range."""
+    ends = rows.agg(F.min(id_col).alias("a"), F.max(id_col).alias("b")).first()
+    middle = 0 if ends["a"] is None else (ends["a"] + ends["b"]) // 2
+    return F.col("locator") <= F.lit(middle)
 
 
 def dedup_report(docs: DataFrame) -> DataFrame:
@@ -186,8 +193,7 @@ def dedup_report(docs: DataFrame) -> DataFrame:
 
     Rows whose id equals the winner's are kept, so rows that repeat id and text are kept together.
     """
-    middle = docs.agg(((F.min("doc_id") + F.max("doc_id")) / 2).alias("m")).first()["m"]
-    out = exact_dedup(docs, F.col("locator") <= F.lit(middle if middle is not None else 0))
+    out = exact_dedup(docs, lower_half(docs, "doc_id"))
     return out.select(
         F.col("locator").alias("doc_id"),
         F.col("keep").alias("keep_id"),
@@ -200,19 +206,21 @@ def dedup_report(docs: DataFrame) -> DataFrame:
 def keep_winners(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all columns: exactly one per group of equal texts.
 
-    Rows are named by id and digest, and by a staged number where these repeat. The smallest number of a
-    name is found by an aggregate over names and numbers alone, which folds before the shuffle, so
-    neither a hot text, a hot id nor a hot pair of both gathers in one task.
+    Of equal texts the largest id stays, null ids losing, and of rows that repeat id and text the first
+    by address. Null texts are empty texts; an empty table gives no rows; columns of any name are kept
+    as they are. Decisions are made on addresses and digests alone, folded before each shuffle, so neither a
+    hot text nor a hot id gathers in one task; texts are read once more to drop the losers.
     """
-    rows = staged(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-
-    def name(id_col: str, digest):
-        return F.concat(digest, F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary"))
-
-    stays = dedup_report(rows).where("kept")
-    names = stays.select(name("doc_id", F.unhex("text_sha256")).alias("_name")).distinct()
+    docs, keys = addressed(docs)
+    file, place = keys
     normalised = ascii_lower(F.coalesce(F.col("text"), F.lit("")))
-    named = rows.select("_row", name("doc_id", F.unhex(F.sha2(normalised, 256))).alias("_name"))
-    first = named.groupBy("_name").agg(F.min("_row").alias("_row"))
-    winners = staged(first.join(names, "_name", "left_semi").select("_row"), "winners")
-    return rows.join(winners, "_row", "left_semi").select(docs.columns)
+    rows = ship(docs).select(
+        *keys, F.col("doc_id").cast("bigint").alias("locator"), F.unhex(F.sha2(normalised, 256)).alias("digest")
+    )
+    rows = staged(rows, "digests")
+    groups = equal_groups(rows.select("locator", "digest"), lower_half(rows, "locator"))
+    first = rows.groupBy("digest", "locator").agg(F.min(F.struct(*keys)).alias("at"))
+    stays = first.join(groups, "digest").where(F.col("locator").eqNullSafe(F.col("keep")))
+    stays = stays.select(F.col("at")[file].alias(file), F.col("at")[place].alias(place))
+    lost = staged(rows.join(stays, keys, "left_anti").select(*keys), "lost")
+    return by_address(docs, keys, lost, "left_anti").drop(*keys)

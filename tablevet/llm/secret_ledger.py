@@ -3,17 +3,22 @@
 Every text is a blob, addressed by its SHA-256. The ledger has one row per scan of a blob: the rules
 (kind and version) that ran and the spans they found. A run reads the ledger, scans only pairs of blob
 and rule version that it lacks, appends them, and joins the findings back to all rows by address.
+
+Which blobs lack something is decided on addresses alone; then one row of each such blob is read again,
+in place. The places of matches are running sums over pieces of a text as rows, so the work of a text grows
+with its length and its hits, not with their product.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablevet.llm.common import join_by_size
+from tablevet.llm.common import addressed, by_address, join_by_size, spare_names
 from tablevet.session import scratch_path, staged
 
 
@@ -56,35 +61,44 @@ RULES = (
 FOUND = "struct<start:int,end:int,rule:string>"
 SPAN = "struct<start:int,kind_no:int,kind:string,end:int>"
 LEDGER = f"blob binary, rules array<string>, spans array<{FOUND}>"
+# Findings of a blob with more spans are never broadcast. Texts are masked in pieces of so many characters.
+BROADCAST_SPANS = 1_000
+MASK_PIECE = 1_024
 
 
 def address(text: Column) -> Column:
     return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
 
 
-def spans_of(text: Column, rule: Rule) -> Column:
-    """Spans of a rule in code points. The gaps between matches and the matches themselves give the
-    places, so the text is searched once where nothing matches."""
-    found = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
-    value = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group))
-    gaps = F.split(text, rule.pattern, -1)
+def pieces_of(text: Column, rule: Rule) -> Column:
+    """The gaps between a rule's matches, the matches and their values, as lengths in code points; null
+    where nothing matches, which takes one search of the text."""
+    pattern = F.lit(rule.pattern)
     pieces = F.arrays_zip(
-        F.transform(gaps, F.length).alias("gap"),
-        F.transform(found, F.length).alias("hit"),
-        F.transform(value, F.length).alias("value"),
+        F.transform(F.split(text, rule.pattern, -1), F.length).alias("gap"),
+        F.transform(F.regexp_extract_all(text, pattern, F.lit(0)), F.length).alias("hit"),
+        F.transform(F.regexp_extract_all(text, pattern, F.lit(rule.group)), F.length).alias("value"),
     )
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{FOUND}>").alias("out"))
+    return F.when(text.rlike(rule.pattern), pieces)
+
 
-    def step(state: Column, piece: Column) -> Column:
-        start = state["at"] + piece["gap"]
-        end = start + piece["hit"]
-        span = F.struct(start.alias("start"), end.alias("end"), F.lit(rule.name).alias("rule"))
-        kept = piece["hit"].isNotNull() & (piece["value"] >= rule.least)
-        out = F.when(kept, F.concat(state["out"], F.array(span))).otherwise(state["out"])
-        return F.struct(F.coalesce(end, start).alias("at"), out.alias("out"))
+def found_spans(texts: DataFrame, keys: list[str], rules: tuple[Rule, ...]) -> DataFrame:
+    """(keys, spans) of the texts in which some rule finds something; ``keys`` name a row.
 
-    places = F.aggregate(pieces, begin, step, lambda state: state["out"])
-    return F.when(F.size(found) > 0, places).otherwise(F.array().cast(f"array<{FOUND}>"))
+    A match begins after all gaps and matches before it, a running sum over the rows of a text and rule.
+    """
+    per_rule = [
+        F.struct(F.lit(r.name).alias("rule"), F.lit(r.least).alias("least"), pieces_of(F.col("text"), r).alias("pieces"))
+        for r in rules
+    ]
+    hits = texts.select(*keys, F.inline(F.array(*per_rule))).where("pieces IS NOT NULL")
+    hits = hits.select(*keys, "rule", "least", F.posexplode("pieces").alias("number", "piece"))
+    upto = Window.partitionBy(*keys, "rule").orderBy("number").rowsBetween(Window.unboundedPreceding, 0)
+    piece = F.col("piece")
+    end = F.sum(piece["gap"] + F.coalesce(piece["hit"], F.lit(0))).over(upto).cast("int")
+    hits = hits.withColumn("end", end).where(piece["hit"].isNotNull() & (piece["value"] >= F.col("least")))
+    span = F.struct((F.col("end") - piece["hit"]).alias("start"), "end", "rule")
+    return hits.groupBy(*keys).agg(F.collect_list(span).alias("spans"))
 
 
 def ledger_table(spark: SparkSession, path: str) -> DataFrame:
@@ -96,15 +110,39 @@ def ledger_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame([], T._parse_datatype_string(LEDGER))
 
 
-def scan_unseen(blobs: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """New ledger rows for ``blobs`` (blob, text: one row per blob) that lack some rule."""
-    names = F.array(*[F.lit(r.name) for r in rules])
+def unseen(paths: DataFrame, keys: list[str], ledger: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
+    """(keys, blob, rules): one row of each blob that lacks some rule, and the rules it lacks."""
+    names = F.array(*[F.lit(r.name) for r in rules]).cast("array<string>")
+    one = paths.groupBy("blob").agg(F.min(F.struct(*keys)).alias("at"))
     done = ledger.groupBy("blob").agg(F.flatten(F.collect_set("rules")).alias("done"))
     missing = F.array_except(names, F.coalesce("done", F.array().cast("array<string>")))
-    open_ = blobs.join(done, "blob", "left").select("blob", "text", missing.alias("rules")).where("size(rules) > 0")
+    open_ = one.join(done, "blob", "left").withColumn("rules", missing).where("size(rules) > 0")
+    return open_.select(*[F.col("at")[k].alias(k) for k in keys], "blob", "rules")
+
+
+def scan_unseen(
+    docs: DataFrame, keys: list[str], paths: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...], text_col: str
+) -> DataFrame | None:
+    """New ledger rows, or none. Texts are filtered by row address and scanned where they are read; the
+    shorter of the two lists, of rows to read or to pass over, is joined."""
+    todo = staged(unseen(paths, keys, ledger, rules), "unseen")
+    # Blobs lack all rules or the new ones: few different sets, at most one for each set of rules.
+    lacking = [(tuple(r["rules"]), r["n"]) for r in todo.groupBy("rules").agg(F.count(F.lit(1)).alias("n")).collect()]
+    total = paths.count()
+    parts = []
+    for names, n in lacking:
+        wanted = todo.where(F.col("rules") == F.array(*map(F.lit, names)))
+        if 2 * n <= total:
+            rows = by_address(docs, keys, wanted, "left_semi")
+        else:
+            rows = by_address(docs, keys, paths.join(wanted, keys, "left_anti"), "left_anti")
+        text = F.coalesce(F.col(text_col), F.lit("")).alias("text")
+        parts.append(found_spans(rows.select(*keys, text), keys, tuple(r for r in rules if r.name in names)))
+    if not parts:
+        return None
+    found = reduce(DataFrame.unionByName, parts)
     none = F.array().cast(f"array<{FOUND}>")
-    found = [F.when(F.array_contains("rules", r.name), spans_of(F.col("text"), r)).otherwise(none) for r in rules]
-    return open_.select("blob", "rules", F.concat(*found).alias("spans"))
+    return todo.join(found, keys, "left").select("blob", "rules", F.coalesce("spans", none).alias("spans"))
 
 
 def current_spans(ledger: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
@@ -113,14 +151,11 @@ def current_spans(ledger: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     names = F.array(*[F.lit(r.name) for r in rules]).cast("array<string>")
     kinds = F.array(*[F.lit(r.kind) for r in rules]).cast("array<string>")
 
-    def span(s: Column) -> Column:
-        number = (F.array_position(names, s["rule"]) - 1).cast("int")
-        return F.struct(s["start"].alias("start"), number.alias("kind_no"), F.get(kinds, number).alias("kind"), s["end"].alias("end"))
-
-    own = F.filter("spans", lambda s: F.array_contains(names, s["rule"])).alias("spans")
-    found = ledger.select("blob", own).where("size(spans) > 0").groupBy("blob")
-    found = found.agg(F.array_distinct(F.flatten(F.collect_list("spans"))).alias("spans"))
-    return found.select("blob", F.array_sort(F.transform("spans", span)).alias("spans"))
+    each = ledger.select("blob", F.explode("spans").alias("s")).select("blob", "s.start", "s.end", "s.rule")
+    each = each.where(F.array_contains(names, F.col("rule"))).distinct()  # a blob may have been scanned twice
+    number = (F.array_position(names, F.col("rule")) - 1).cast("int")
+    span = F.struct("start", number.alias("kind_no"), F.get(kinds, number).alias("kind"), "end")
+    return each.groupBy("blob").agg(F.array_sort(F.collect_list(span)).alias("spans"))
 
 
 def scan(
@@ -131,17 +166,28 @@ def scan(
     Null texts are empty, null and repeated ids are rows like others, and only the two columns are
     read. Copies of a text fold before the shuffle and are scanned once, whatever their number.
     """
+    docs, keys = addressed(docs)
+    out = _scan(docs, keys, ledger_path, rules, id_col, text_col)
+    return out.select("doc_id", "blob", F.coalesce("spans", F.array().cast(f"array<{SPAN}>")).alias("spans"))
+
+
+def _scan(
+    docs: DataFrame, keys: list[str], ledger_path: str, rules: tuple[Rule, ...], id_col: str, text_col: str
+) -> DataFrame:
+    """(keys, doc_id, blob, length, spans) of every row; spans are null where nothing was found."""
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
-    paths = staged(docs.select(F.col(id_col).alias("doc_id"), address(text).alias("blob")), "paths")
-    blobs = docs.select(address(text).alias("blob"), text.alias("text")).dropDuplicates(["blob"])
-    scan_unseen(blobs, ledger_table(spark, ledger_path), rules).write.mode("append").parquet(ledger_path)
-
-    counts = paths.groupBy("blob").agg(F.count(F.lit(1)).alias("n"))
+    id_ = F.lit(None).cast("bigint").alias("doc_id") if id_col is None else F.col(id_col).alias("doc_id")
+    paths = staged(docs.select(*keys, id_, address(text).alias("blob"), F.length(text).alias("length")), "paths")
+    new = scan_unseen(docs, keys, paths, ledger_table(spark, ledger_path), rules, text_col)
+    if new is not None:
+        new.write.mode("append").parquet(ledger_path)
+    counts = paths.groupBy("blob").agg(F.count(F.lit(1)).alias("copies"))
     spans = current_spans(ledger_table(spark, ledger_path), rules)
-    findings = staged(spans.join(counts, "blob"), "findings")
-    out = join_by_size(paths, findings, "blob", "n", paths.count())
-    return out.select("doc_id", "blob", F.coalesce("spans", F.array().cast(f"array<{SPAN}>")).alias("spans"))
+    # Only short findings of blobs with many copies are broadcast.
+    few = F.when(F.size("spans") <= BROADCAST_SPANS, F.col("copies")).otherwise(0)
+    findings = staged(spans.join(counts, "blob").withColumn("n", few).drop("copies"), "findings")
+    return join_by_size(paths, findings, "blob", "n", paths.count())
 
 
 def joined(spans: Column) -> Column:
@@ -167,26 +213,50 @@ def secret_report(docs: DataFrame, ledger_path: str | None = None) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, rules: tuple[Rule, ...] = RULES, ledger_path: str | None = None) -> DataFrame:
-    """``docs`` with the secret part of every span masked by asterisks, all rows and columns.
+    """``docs`` with every character of every span masked by an asterisk, all rows and columns.
 
-    Only texts with a finding are rewritten. They are named by content address, so the join takes
-    the few addresses with findings; texts without one keep every character.
+    Null and empty texts stay as they are, repeated rows and null ids are rows like others, an empty
+    table gives no rows, and columns of any name are kept. Only texts with a finding move, and only they
+    are rewritten.
     """
+    docs, keys = addressed(docs)
     path = ledger_path or scratch_path(docs.sparkSession, "ledger")
-    found = scan(docs, path, rules).where("size(spans) > 0").select("blob", "spans").dropDuplicates(["blob"])
-    return mask(docs, staged(found, "found"))
+    found = _scan(docs, keys, path, rules, None, "text").where("size(spans) > 0")
+    return mask(docs, keys, staged(found.select(*keys, "length", "spans"), "found")).drop(*keys)
 
 
-def mask(docs: DataFrame, found: DataFrame) -> DataFrame:
-    keyed = docs.withColumn("_blob", address(F.col("text")))
-    named = keyed.join(found.select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans")), "_blob", "left")
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+def mask(docs: DataFrame, keys: list[str], found: DataFrame) -> DataFrame:
+    """``docs`` with the spans of ``found`` (keys, length, spans) masked; ``keys`` name a row.
 
-    def step(state: Column, s: Column) -> Column:
-        start, end = F.greatest(s["start"], state["at"]), F.greatest(s["end"], state["at"])
-        before = F.substr(F.col("text"), state["at"] + 1, start - state["at"])
-        return F.struct(end.alias("at"), F.concat(state["out"], before, F.repeat(F.lit("*"), end - start)).alias("out"))
-
-    rest = lambda state: F.concat(state["out"], F.substr(F.col("text"), state["at"] + 1))
-    masked = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(F.aggregate("_spans", begin, step, rest))
-    return named.select(*[masked.alias(c) if c == "text" else F.col(c) for c in docs.columns])
+    A text is masked in pieces of MASK_PIECE characters, each by the spans that touch it, so the work
+    follows the length of the text and the number of spans. Spans may overlap.
+    """
+    (parts,) = spare_names(docs, "parts")
+    piece = lambda at: F.floor(at / MASK_PIECE).cast("int")
+    spans = found.select(*keys, F.explode("spans").alias("s")).select(*keys, "s.start", "s.end")
+    touched = spans.withColumn("c", F.explode(F.sequence(piece(F.col("start")), piece(F.col("end") - 1))))
+    begin = F.col("c") * MASK_PIECE
+    local = F.struct(
+        F.greatest(F.col("start") - begin, F.lit(0)).alias("start"), F.least(F.col("end") - begin, F.lit(MASK_PIECE)).alias("end")
+    )
+    every = found.select(*keys, F.explode(F.sequence(F.lit(0), piece(F.col("length") - 1))).alias("c"))
+    marks = touched.select(*keys, "c", local.alias("m")).unionByName(every.select(*keys, "c", F.lit(None).alias("m")), True)
+    dense = marks.groupBy(*keys, "c").agg(F.array_sort(F.collect_list("m")).alias("ms"))
+    dense = dense.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("c", "ms"))).alias(parts))
+
+    def masked(text: Column, marks: Column) -> Column:
+        start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+
+        def step(state: Column, m: Column) -> Column:
+            first, last = F.greatest(m["start"], state["at"]), F.greatest(m["end"], state["at"])
+            before = F.substr(text, state["at"] + 1, first - state["at"])
+            return F.struct(last.alias("at"), F.concat(state["out"], before, F.repeat(F.lit("*"), last - first)).alias("out"))
+
+        return F.aggregate(marks, start, step, lambda state: F.concat(state["out"], F.substr(text, state["at"] + 1)))
+
+    cut = F.regexp_extract_all(F.col("text"), F.lit(f"(?s).{{1,{MASK_PIECE}}}"), F.lit(0))
+    pieces = F.transform(cut, lambda text, i: masked(text, F.get(F.col(parts), i)["ms"]))
+    clean = by_address(docs, keys, found, "left_anti")
+    named = by_address(docs, keys, found, "left_semi").join(dense, keys)
+    rewritten = named.select(*[F.array_join(pieces, "").alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns])
+    return clean.unionByName(rewritten)

@@ -22,8 +22,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablevet.llm.common import Words, join_by_size, ship, text_slices
+from tablevet.llm.common import Words, addressed, by_address, join_by_size, ship, text_slices
 from tablevet.llm.components import connected_components
+from tablevet.llm.jaccard_regions import LINK, cut_regions, member_texts, region_rows, set_names, shingle_sets
 from tablevet.session import staged
 
 N_BLOCKS = 7
@@ -32,42 +33,44 @@ CELL_ROWS = 4096
 EVEN = 0x5555555555555555
 
 
+def text_fingerprints(texts: list[bytes], width: int) -> np.ndarray:
+    """SimHash of the word shingles of each text; no word gives 0."""
+    words = Words(texts, lower=True)
+    out = np.zeros(len(texts), np.uint64)
+    if not len(words.starts):
+        return out
+    # Words joined by one space each: a shingle is one byte range of that text.
+    flat = b" ".join(words.data.tobytes().split())
+    ends = np.cumsum(words.ends - words.starts + 1) - 1
+    starts = np.append(0, ends[:-1] + 1)
+    n = np.maximum(words.counts - width + 1, np.minimum(words.counts, 1))
+    doc = np.repeat(np.arange(len(texts)), n)
+    place = np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n) + words.first[doc]
+    last = np.minimum(place + width, words.first[doc] + words.counts[doc]) - 1
+    h = np.fromiter(
+        (xxhash.xxh64_intdigest(flat[a:b], 42) for a, b in zip(starts[place].tolist(), ends[last].tolist())),
+        np.uint64,
+        len(doc),
+    )
+    has = np.flatnonzero(n)
+    first = (np.cumsum(n) - n)[has]
+    for byte in range(8):
+        part = (h >> np.uint64(8 * byte)).astype(np.uint8)
+        bits = np.unpackbits(part[:, None], axis=1, bitorder="little")
+        votes = np.add.reduceat(bits, first, axis=0, dtype=np.int64)
+        bit = (2 * votes > n[has, None]).astype(np.uint64)
+        shifts = np.arange(8 * byte, 8 * byte + 8, dtype=np.uint64)
+        out[has] |= (bit << shifts).sum(axis=1, dtype=np.uint64)
+    return out
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4) -> DataFrame:
     """(locator, fp): SimHash of word shingles of each text; no word gives 0, null text is empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, texts in text_slices(batches):
-            words = Words(texts, lower=True)
-            out = np.zeros(len(texts), np.uint64)
-            if len(words.starts):
-                # Words joined by one space each: a shingle is one byte range of that text.
-                flat = b" ".join(words.data.tobytes().split())
-                ends = np.cumsum(words.ends - words.starts + 1) - 1
-                starts = np.append(0, ends[:-1] + 1)
-                n = np.maximum(words.counts - width + 1, np.minimum(words.counts, 1))
-                doc = np.repeat(np.arange(len(texts)), n)
-                place = np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n) + words.first[doc]
-                last = np.minimum(place + width, words.first[doc] + words.counts[doc]) - 1
-                h = np.fromiter(
-                    (
-                        xxhash.xxh64_intdigest(flat[a:b], 42)
-                        for a, b in zip(starts[place].tolist(), ends[last].tolist())
-                    ),
-                    np.uint64,
-                    len(doc),
-                )
-                has = np.flatnonzero(n)
-                first = (np.cumsum(n) - n)[has]
-                for byte in range(8):
-                    part = (h >> np.uint64(8 * byte)).astype(np.uint8)
-                    bits = np.unpackbits(part[:, None], axis=1, bitorder="little")
-                    votes = np.add.reduceat(bits, first, axis=0, dtype=np.int64)
-                    bit = (2 * votes > n[has, None]).astype(np.uint64)
-                    shifts = np.arange(8 * byte, 8 * byte + 8, dtype=np.uint64)
-                    out[has] |= (bit << shifts).sum(axis=1, dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays(
-                [rows.column(0).cast(pa.int64()), pa.array(out.view(np.int64))], ["locator", "fp"]
-            )
+            fp = text_fingerprints(texts, width).view(np.int64)
+            yield pa.RecordBatch.from_arrays([rows.column(0).cast(pa.int64()), pa.array(fp)], ["locator", "fp"])
 
     return ship(docs).select(F.col(id_col).cast("bigint").alias("locator"), F.col(text_col).alias("text")).mapInArrow(
         run, "locator bigint, fp bigint"
@@ -104,15 +107,15 @@ def cell_masks(n_blocks: int = N_BLOCKS, distance: int = MAX_DISTANCE) -> list[t
     return masks
 
 
-def in_cells(fps: DataFrame) -> DataFrame:
-    """(cell, fp): each fingerprint in the grid cells of all its block choices."""
+def in_cells(nodes: DataFrame, n_blocks: int, distance: int) -> DataFrame:
+    """(cell, node, fp, n): each node in the grid cells of all block choices of its fingerprint."""
     even, odd = unary(F.col("fp")), unary(rotated(F.col("fp")))
     cells = [
         F.xxhash64(F.lit(k), F.col("_even").bitwiseAND(F.lit(a)), F.col("_odd").bitwiseAND(F.lit(b)))
-        for k, (a, b) in enumerate(cell_masks())
+        for k, (a, b) in enumerate(cell_masks(n_blocks, distance))
     ]
-    with_counts = fps.select("fp", even.alias("_even"), odd.alias("_odd"))
-    return with_counts.select("fp", F.explode(F.array(*cells)).alias("cell"))
+    with_counts = nodes.select("node", "fp", "n", even.alias("_even"), odd.alias("_odd"))
+    return with_counts.select("node", "fp", "n", F.explode(F.array(*cells)).alias("cell"))
 
 
 def _unary(x: np.ndarray) -> np.ndarray:
@@ -120,100 +123,130 @@ def _unary(x: np.ndarray) -> np.ndarray:
     return ((x | high) & low) | ((x & high & low) << np.uint64(1))
 
 
-def _linked(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Pairs within the Manhattan bound of both segmentations, then within the distance itself."""
-    diff = np.bitwise_count(_unary(a) ^ _unary(b)) <= MAX_DISTANCE
-    return diff & (np.bitwise_count(a ^ b) <= MAX_DISTANCE)
-
-
-def _forest(fp: np.ndarray) -> np.ndarray:
-    """For each member of one cell the index of a member it is connected to, the same for all of a
-    component. Grows from a start by comparing new members with what is not reached yet."""
-    root = np.arange(len(fp))
-    left = np.arange(len(fp))
-    while len(left):
-        start, left = left[0], left[1:]
-        front = np.array([start])
-        while len(front) and len(left):
-            hit = np.zeros(len(left), bool)
-            step = max(1, (1 << 18) // len(left))
-            for i in range(0, len(front), step):
-                open_ = np.flatnonzero(~hit)
-                near = _linked(fp[front[i : i + step], None], fp[left[open_]][None, :]).any(axis=0)
-                hit[open_[near]] = True
-            front, left = left[hit], left[~hit]
-            root[front] = start
-    return root
-
-
-def _small_cells(fp: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Linked pairs within runs of equal cells, all runs at once; index of both members."""
-    n_after = np.repeat(starts + sizes, sizes) - np.arange(starts[0], starts[0] + sizes.sum()) - 1 if len(starts) else np.zeros(0, np.int64)
-    a = np.repeat(np.concatenate([np.arange(s, s + m) for s, m in zip(starts, sizes)]), n_after)
-    b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(n_after) - n_after, n_after)
-    near = _linked(fp[a], fp[b])
-    return a[near], b[near]
-
-
-def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+class Cell:
+    """Members of some grid cells: their fingerprints, and the sizes that may not differ too much."""
+
+    def __init__(self, fp: np.ndarray, n: np.ndarray, distance: int, similar: int):
+        self.fp, self.n, self.distance, self.similar = fp, n, distance, similar
+
+    def linked(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Pairs within the Manhattan bound of the segmentation, then within the distance itself, whose
+        smaller size is at least ``similar`` percent of the larger one."""
+        a, b = np.broadcast_arrays(a, b)
+        near = np.bitwise_count(_unary(self.fp[a]) ^ _unary(self.fp[b])) <= self.distance
+        near &= np.bitwise_count(self.fp[a] ^ self.fp[b]) <= self.distance
+        if self.similar:
+            low, high = np.minimum(self.n[a], self.n[b]), np.maximum(self.n[a], self.n[b])
+            near &= 100 * low >= self.similar * high
+        return near
+
+    def forest(self, members: np.ndarray) -> np.ndarray:
+        """For each member of one cell one that it is connected to, the same for all of a component.
+        Grows from a start by comparing new members with what is not reached yet."""
+        root = members.copy()
+        left = np.arange(len(members))
+        while len(left):
+            start, left = left[0], left[1:]
+            front = np.array([start])
+            while len(front) and len(left):
+                hit = np.zeros(len(left), bool)
+                step = max(1, (1 << 18) // len(left))
+                for i in range(0, len(front), step):
+                    open_ = np.flatnonzero(~hit)
+                    near = self.linked(members[front[i : i + step], None], members[left[open_]][None, :]).any(axis=0)
+                    hit[open_[near]] = True
+                front, left = left[hit], left[~hit]
+                root[front] = members[start]
+        return root
+
+    def small(self, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Linked pairs within runs of equal cells, all runs at once; index of both members."""
+        place = np.concatenate([np.arange(s, s + m) for s, m in zip(starts, sizes)])
+        n_after = np.repeat(starts + sizes, sizes) - place - 1
+        a = np.repeat(place, n_after)
+        b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(n_after) - n_after, n_after)
+        out = [np.zeros((2, 0), np.int64)]
+        for i in range(0, len(a), 1 << 20):
+            part = slice(i, i + (1 << 20))
+            near = self.linked(a[part], b[part])
+            out.append(np.stack([a[part][near], b[part][near]]))
+        a, b = np.concatenate(out, axis=1)
+        return a, b
+
+
+def _edges(distance: int, similar: int):
     """Links among the members of each (cell, lo, hi); rows come sorted by these."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    names = ("cell", "lo", "hi", "node", "fp", "n")
 
-    def links(keys: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
+    def links(rows: np.ndarray) -> pa.RecordBatch:
+        keys, node = rows[:, :3], rows[:, 3]
+        cell = Cell(rows[:, 4].astype(np.uint64), rows[:, 5], distance, similar)
         cut = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]).any(axis=1)))
-        sizes = np.diff(np.append(cut, len(fp)))
+        sizes = np.diff(np.append(cut, len(rows)))
         small = (sizes > 1) & (sizes <= 32)
-        pairs = []
+        pairs = [np.zeros((2, 0), np.int64)]
         if small.any():
-            members = np.repeat(small, sizes)
-            own, n = fp[members], sizes[small]
-            at, b = _small_cells(own, np.cumsum(n) - n, n)
-            pairs.append((own[at], own[b]))
+            pairs.append(node[np.stack(cell.small(cut[small], sizes[small]))])
         for start, n in zip(cut[sizes > 32], sizes[sizes > 32]):
-            own = fp[start : start + n]
-            root = _forest(own)
-            moved = np.flatnonzero(root != np.arange(n))
-            pairs.append((own[moved], own[root[moved]]))
-        found = np.concatenate([np.stack(p) for p in pairs], axis=1) if pairs else np.zeros((2, 0), np.uint64)
-        found = np.unique(found, axis=1).view(np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], schema=schema)
-
-    kept_keys, kept_fp = np.zeros((0, 3), np.int64), np.zeros(0, np.uint64)
-    for batch in batches:
-        keys = np.stack([batch.column(c).to_numpy() for c in ("cell", "lo", "hi")], axis=1)
-        keys = np.concatenate([kept_keys, keys])
-        fp = np.concatenate([kept_fp, batch.column("fp").to_numpy().view(np.uint64)])
-        if not len(fp):
-            continue
-        whole = int(np.flatnonzero((keys != keys[-1]).any(axis=1))[-1]) + 1 if (keys != keys[-1]).any() else 0
-        kept_keys, kept_fp = keys[whole:], fp[whole:]
-        if whole:
-            yield links(keys[:whole], fp[:whole])
-    if len(kept_fp):
-        yield links(kept_keys, kept_fp)
+            members = np.arange(start, start + n)
+            root = cell.forest(members)
+            pairs.append(node[np.stack([members, root])[:, root != members]])
+        found = np.unique(np.concatenate(pairs, axis=1), axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], ["a", "b"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = np.zeros((0, len(names)), np.int64)
+        for batch in batches:
+            rows = np.concatenate([kept, np.stack([batch.column(c).to_numpy() for c in names], axis=1)])
+            if not len(rows):
+                continue
+            other = (rows[:, :3] != rows[-1, :3]).any(axis=1)
+            whole = int(np.flatnonzero(other)[-1]) + 1 if other.any() else 0
+            kept = rows[whole:]
+            if whole:
+                yield links(rows[:whole])
+        if len(kept):
+            yield links(kept)
 
-def fingerprint_links(fps: DataFrame) -> DataFrame:
-    """Links (a, b) between different fingerprints, enough to connect all that are linked.
+    return run
+
+
+def blocks_for(n_nodes: int, distance: int) -> int:
+    """Number of blocks: more must agree in a larger table, so that cells stay small."""
+    agree = 2 if distance > 6 else 3
+    while n_nodes > 4_000_000 * 30 ** (agree - (2 if distance > 6 else 3)):
+        agree += 1
+    return distance + agree
+
+
+def node_links(nodes: DataFrame, distance: int = MAX_DISTANCE, similar: int = 0, n_blocks: int | None = None) -> DataFrame:
+    """Links (a, b) between nodes (node, fp, n), enough to connect all that are linked.
 
     A cell of many members is cut into chunks of about CELL_ROWS, and every two chunks meet in a
     group of their own, so no task holds a whole cell and no pair is left out. A group gives a
-    forest, not all pairs.
+    forest, not all pairs. With ``similar``, the smaller n of a link is at least that percentage of the larger.
     """
-    cells = in_cells(fps)
-    sizes = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    chunks = F.ceil(F.col("n") / CELL_ROWS).cast("int")
+    cells = in_cells(nodes, n_blocks or blocks_for(nodes.count(), distance), distance)
+    sizes = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("in_cell")).where("in_cell > 1")
+    chunks = F.ceil(F.col("in_cell") / CELL_ROWS).cast("int")
     members = cells.join(sizes, "cell").withColumn("k", chunks)
-    members = members.withColumn("own", F.pmod(F.xxhash64("fp"), "k").cast("int"))
+    members = members.withColumn("own", F.pmod(F.xxhash64("node"), "k").cast("int"))
     others = F.filter(F.sequence(F.lit(0), F.col("k") - 1), lambda j: (j != F.col("own")) | (F.col("k") == 1))
-    groups = members.select("cell", "fp", "own", F.explode(others).alias("other")).select(
+    groups = members.select("cell", "node", "fp", "n", "own", F.explode(others).alias("other")).select(
         "cell",
         F.least("own", "other").cast("bigint").alias("lo"),
         F.greatest("own", "other").cast("bigint").alias("hi"),
+        "node",
         "fp",
+        F.col("n").cast("bigint").alias("n"),
     )
     groups = groups.repartition("cell", "lo", "hi").sortWithinPartitions("cell", "lo", "hi")
-    return groups.mapInArrow(_edges, "a bigint, b bigint").distinct()
+    return groups.mapInArrow(_edges(distance, similar), "a bigint, b bigint").distinct()
+
+
+def fingerprint_links(fps: DataFrame) -> DataFrame:
+    """Links (a, b) between different fingerprints, enough to connect all that are linked."""
+    return node_links(fps.select(F.col("fp").alias("node"), "fp", F.lit(0).alias("n")))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -245,19 +278,61 @@ def near_duplicate_report(docs: DataFrame) -> DataFrame:
     )
 
 
-def keep_representatives(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, with all columns: one per component, of the smallest id and then
-    the first of its rows.
+# The stage: texts are near copies if their sets of five-word shingles are similar by 80 percent. Candidates
+# are texts whose fingerprints of two-word shingles differ in at most nine bits, which finds more of them than
+# fingerprints of longer shingles.
+STAGE_WIDTH = 5
+STAGE_SIMILAR = 80
+STAGE_FEATURES = 2
+STAGE_DISTANCE = 9
+
 
-    Rows are named by a staged number, so rows that share an id but not a text are judged each by its
-    own component. Rows without an id all stay, but they link what they resemble.
+def _judged_rows(docs: DataFrame, keys: list[str], features: int, width: int) -> DataFrame:
+    """(both keys, doc_id, fp, node, name, n) of every row: the fingerprint, and name and size of its set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, texts in text_slices(batches):
+            sizes, hashes = shingle_sets(texts, width)
+            names = set_names(sizes, hashes)
+            fp = text_fingerprints(texts, features)
+            columns = [rows.column(k) for k in range(3)]
+            columns += [pa.array(fp.view(np.int64)), pa.array(names[:, 0].view(np.int64))]
+            columns += [pa.array([x.tobytes() for x in names], pa.binary()), pa.array(sizes, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, [*keys, "doc_id", "fp", "node", "name", "n"])
+
+    schema = f"`{keys[0]}` bigint, `{keys[1]}` bigint, doc_id bigint, fp bigint, node bigint, name binary, n bigint"
+    picked = docs.select(*keys, F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").alias("text"))
+    return picked.mapInArrow(run, schema)
+
+
+def keep_representatives(
+    docs: DataFrame,
+    width: int = STAGE_WIDTH,
+    similar: int = STAGE_SIMILAR,
+    features: int = STAGE_FEATURES,
+    distance: int = STAGE_DISTANCE,
+) -> DataFrame:
+    """The rows of ``docs`` that stay, with all columns: one per component of near copies, of the smallest id
+    and then the first of its rows by address.
+
+    Fingerprints of ``features`` words within ``distance`` bits propose pairs; texts of such a family are then
+    compared exactly, and linked if the sets of their shingles of ``width`` words have a Jaccard similarity
+    of ``similar`` percent. Texts without words, null ones among them, are copies of each other. Rows are
+    named by address, so rows that share an id but not a text are judged each by its own component. Rows
+    without an id all stay, but they link what they resemble. An empty table gives no rows; columns of
+    any name are kept as they are. Of all texts only those move that have a candidate.
     """
-    rows = staged(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    parts = near_duplicates(rows, "_row").select(F.col("locator").alias("_row"), "component")
-    with_id = rows.where("doc_id is not null")  # rows without one never meet in one task
-    least = parts.join(with_id.select("_row", "doc_id"), "_row").groupBy("component").agg(
-        F.min(F.struct("doc_id", "_row")).alias("least")
-    )
-    stays = staged(least.select("least._row"), "stays")
-    kept = with_id.join(stays, "_row", "left_semi").select(docs.columns)
-    return kept.unionByName(rows.where("doc_id is null").select(docs.columns))
+    docs, keys = addressed(ship(docs))
+    rows = staged(_judged_rows(docs, keys, features, width), "judged")
+    nodes = rows.where("n > 0").groupBy("node").agg(F.min("fp").alias("fp"), F.max("n").alias("n"))
+    parts = staged(connected_components(node_links(staged(nodes, "nodes"), distance, similar)), "families")
+    members = staged(member_texts(docs, parts, "text", width), "members")
+    regions, links = cut_regions(members, width, similar)
+    regions = regions.repartition("region").sortWithinPartitions("region")
+    linked = connected_components(links.unionByName(regions.mapInArrow(region_rows(width, similar), LINK)))
+    named = rows.where("doc_id IS NOT NULL").groupBy("name").agg(F.min(F.struct("doc_id", *keys)).alias("least"))
+    named = named.join(linked.withColumnRenamed("node", "name"), "name", "left")
+    stays = named.groupBy(F.coalesce("root", "name")).agg(F.min("least").alias("least"))
+    stays = stays.select(*[F.col("least")[k].alias(k) for k in keys])
+    lost = staged(rows.where("doc_id IS NOT NULL").join(stays, keys, "left_anti").select(*keys), "lost")
+    return by_address(docs, keys, lost, "left_anti").drop(*keys)

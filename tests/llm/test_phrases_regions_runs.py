@@ -234,13 +234,13 @@ def test_jaccard_components(spark, stored, families, limits):
 def test_regions_that_pivots_do_not_cut_meet_in_chunks(spark, stored, families):
     docs = stored(families)
     parts = jaccard_regions.families(docs, "text", 4, 85)
-    members = jaccard_regions._members(docs, parts, "text", 4)
+    members = jaccard_regions.member_texts(docs, parts, "text", 4)
     regions, links = jaccard_regions.cut_regions(members, 4, 85, 1_000, rounds=0)
     found = regions.repartition("region").sortWithinPartitions("region")
-    found = found.mapInArrow(jaccard_regions._region_rows(4, 85), jaccard_regions.LINK).unionByName(links).distinct()
+    found = found.mapInArrow(jaccard_regions.region_rows(4, 85), jaccard_regions.LINK).unionByName(links).distinct()
     whole, none = jaccard_regions.cut_regions(members, 4, 85)
     whole = whole.repartition("region").sortWithinPartitions("region")
-    whole = whole.mapInArrow(jaccard_regions._region_rows(4, 85), jaccard_regions.LINK)
+    whole = whole.mapInArrow(jaccard_regions.region_rows(4, 85), jaccard_regions.LINK)
     roots = [
         {(r["node"], r["root"]) for r in jaccard_regions.connected_components(x).collect()} for x in (found, whole)
     ]
