@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablevet.llm.common import Words, addressed, by_address, join_by_size, ship, text_slices
+from tablevet.llm.common import Words, addressed, by_address, give_back, join_by_size, ship, text_slices
 from tablevet.llm.components import connected_components
 from tablevet.llm.jaccard_regions import LINK, cut_regions, member_texts, region_rows, set_names, shingle_sets
 from tablevet.session import staged
@@ -128,36 +128,36 @@ class Cell:
 
     def __init__(self, fp: np.ndarray, n: np.ndarray, distance: int, similar: int):
         self.fp, self.n, self.distance, self.similar = fp, n, distance, similar
+        self.counts = _unary(fp)
 
-    def linked(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Pairs within the Manhattan bound of the segmentation, then within the distance itself, whose
-        smaller size is at least ``similar`` percent of the larger one."""
-        a, b = np.broadcast_arrays(a, b)
-        near = np.bitwise_count(_unary(self.fp[a]) ^ _unary(self.fp[b])) <= self.distance
-        near &= np.bitwise_count(self.fp[a] ^ self.fp[b]) <= self.distance
+    def verified(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Pairs within the distance whose smaller size is at least ``similar`` percent of the larger one."""
+        near = np.bitwise_count(self.fp[a] ^ self.fp[b]) <= self.distance
         if self.similar:
             low, high = np.minimum(self.n[a], self.n[b]), np.maximum(self.n[a], self.n[b])
             near &= 100 * low >= self.similar * high
         return near
 
-    def forest(self, members: np.ndarray) -> np.ndarray:
-        """For each member of one cell one that it is connected to, the same for all of a component.
-        Grows from a start by comparing new members with what is not reached yet."""
-        root = members.copy()
-        left = np.arange(len(members))
-        while len(left):
-            start, left = left[0], left[1:]
-            front = np.array([start])
-            while len(front) and len(left):
-                hit = np.zeros(len(left), bool)
-                step = max(1, (1 << 18) // len(left))
-                for i in range(0, len(front), step):
-                    open_ = np.flatnonzero(~hit)
-                    near = self.linked(members[front[i : i + step], None], members[left[open_]][None, :]).any(axis=0)
-                    hit[open_[near]] = True
-                front, left = left[hit], left[~hit]
-                root[front] = members[start]
-        return root
+    def forest(self, start: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Links that connect what is connected in one cell: all pairs by the Manhattan bound of their
+        counts, a block at a time, then by the distance itself where they are not connected yet."""
+        counts, part = self.counts[start : start + n], np.arange(n)
+        out: list[tuple[int, int]] = []
+        step = max(1, (1 << 18) // n)
+        for begin in range(0, n, step):
+            block = counts[begin : begin + step]
+            near = np.bitwise_count(block[:, None] ^ counts[None, begin:]) <= self.distance
+            a, b = np.nonzero(near)
+            a, b = a + begin, b + begin
+            open_ = (a < b) & (part[a] != part[b])
+            a, b = a[open_], b[open_]
+            linked = self.verified(start + a, start + b)
+            for one, other in zip(a[linked].tolist(), b[linked].tolist()):
+                if part[one] != part[other]:
+                    out.append((start + one, start + other))
+                    part[part == part[other]] = part[one]
+        pairs = np.array(out, np.int64).reshape(-1, 2)
+        return pairs[:, 0], pairs[:, 1]
 
     def small(self, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Linked pairs within runs of equal cells, all runs at once; index of both members."""
@@ -166,10 +166,12 @@ class Cell:
         a = np.repeat(place, n_after)
         b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(n_after) - n_after, n_after)
         out = [np.zeros((2, 0), np.int64)]
-        for i in range(0, len(a), 1 << 20):
-            part = slice(i, i + (1 << 20))
-            near = self.linked(a[part], b[part])
-            out.append(np.stack([a[part][near], b[part][near]]))
+        for i in range(0, len(a), 1 << 18):
+            x, y = a[i : i + (1 << 18)], b[i : i + (1 << 18)]
+            near = np.bitwise_count(self.counts[x] ^ self.counts[y]) <= self.distance
+            x, y = x[near], y[near]
+            near = self.verified(x, y)
+            out.append(np.stack([x[near], y[near]]))
         a, b = np.concatenate(out, axis=1)
         return a, b
 
@@ -183,14 +185,12 @@ def _edges(distance: int, similar: int):
         cell = Cell(rows[:, 4].astype(np.uint64), rows[:, 5], distance, similar)
         cut = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]).any(axis=1)))
         sizes = np.diff(np.append(cut, len(rows)))
-        small = (sizes > 1) & (sizes <= 32)
+        small = (sizes > 1) & (sizes <= 16)
         pairs = [np.zeros((2, 0), np.int64)]
         if small.any():
             pairs.append(node[np.stack(cell.small(cut[small], sizes[small]))])
-        for start, n in zip(cut[sizes > 32], sizes[sizes > 32]):
-            members = np.arange(start, start + n)
-            root = cell.forest(members)
-            pairs.append(node[np.stack([members, root])[:, root != members]])
+        for start, n in zip(cut[sizes > 16].tolist(), sizes[sizes > 16].tolist()):
+            pairs.append(node[np.stack(cell.forest(start, n))])
         found = np.unique(np.concatenate(pairs, axis=1), axis=1)
         return pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], ["a", "b"])
 
@@ -207,6 +207,7 @@ def _edges(distance: int, similar: int):
                 yield links(rows[:whole])
         if len(kept):
             yield links(kept)
+        give_back()
 
     return run
 

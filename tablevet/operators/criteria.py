@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablevet.functions.naming import norm, to_bool, to_number, unquote
+from tablevet.operators import boxes
 
 # Fields compared as numbers and as truth values, and the default search bounds.
 NUMERIC_FIELDS = [
@@ -234,10 +235,102 @@ def condition_holds(op: Column, actual: Column, value: Column, numeric_field: Co
     return F.coalesce(truth, F.lit(False))
 
 
-def match_criteria_table(
+# Dimensions of a collection's box.
+BOX_FIELDS = ["n_instances", "n_features"]
+
+
+def criteria_boxes(criteria: DataFrame, fields: list[str]) -> DataFrame:
+    """One row per collection: its range in each of ``BOX_FIELDS`` among ``fields``, one text it asks
+    for (``_tag``, empty if none), and all its conditions.
+
+    Only conditions outside an ``any_of`` bound the box; the others are checked afterwards.
+    """
+    # A condition on an unknown field holds, inside a group as well, so it asks what always holds.
+    known = F.col("field").isin([*fields, ""])
+    asked = criteria.select(
+        "collection_id",
+        "cond_no",
+        "any_no",
+        "group_no",
+        F.when(known, F.col("field")).otherwise("").alias("field"),
+        F.when(known, F.col("op")).otherwise("==").alias("op"),
+        F.when(known, F.col("value")).otherwise("").alias("value"),
+    )
+    op, number, parts = F.col("op"), to_number(F.col("value")), F.split("value", ",")
+    low = F.when(op.isin(">", ">=", "=="), number).when(op == "between", to_number(F.get(parts, F.lit(0))))
+    high = F.when(op.isin("<", "<=", "=="), number).when(op == "between", to_number(F.get(parts, F.lit(1))))
+    single = F.col("group_no").isNull()
+    ranges = []
+    for field in [f for f in BOX_FIELDS if f in fields]:
+        here = single & (F.col("field") == field)
+        ranges += [F.max(F.when(here, low)).alias(f"min_{field}"), F.min(F.when(here, high)).alias(f"max_{field}")]
+    text = single & (op == "==") & ~F.col("field").isin(NUMERIC_FIELDS) & (F.col("field") != "")
+    tag = F.concat_ws("=", "field", F.lower(unquote(F.col("value"))))
+    columns = ("cond_no", "any_no", "group_no", "field", "op", "value")
+    return asked.groupBy("collection_id").agg(
+        *ranges,
+        F.coalesce(F.min(F.when(text, tag)), F.lit("")).alias("_tag"),
+        F.collect_list(F.struct(*columns)).alias("_conditions"),
+    )
+
+
+def _all_hold(conditions: Column, actual: Column) -> Column:
+    """Whether a dataset's texts by field meet a collection's conditions."""
+
+    def fails(c: Column) -> Column:
+        return ~condition_holds(c["op"], F.try_element_at(actual, c["field"]), c["value"], c["field"].isin(NUMERIC_FIELDS))
+
+    def group(c: Column) -> Column:
+        return F.struct(c["any_no"].alias("any_no"), c["group_no"].alias("group_no"))
+
+    grouped = F.filter(conditions, lambda c: c["group_no"].isNotNull())
+    failed = F.array_distinct(F.transform(F.filter(grouped, fails), group))
+    held = F.array_except(F.transform(grouped, group), failed)
+    number = lambda groups: F.size(F.array_distinct(F.transform(groups, lambda g: g["any_no"])))
+    some_group = number(held) == number(F.transform(grouped, group))
+    return ~F.exists(conditions, lambda c: c["group_no"].isNull() & fails(c)) & some_group
+
+
+def _points(metrics: DataFrame, key: list[str]) -> DataFrame:
+    """Datasets as points: a number per box dimension, all texts by field, and each tag they carry."""
+    fields = [c for c in metrics.columns if c not in key]
+    texts = [F.col(f).cast("string") for f in fields]
+    actual = F.map_from_arrays(F.array(*map(F.lit, ["", *fields])), F.array(F.lit(""), *texts))
+    tags = [F.concat(F.lit(f"{f}="), F.lower(t)) for f, t in zip(fields, texts) if f not in NUMERIC_FIELDS]
+    dims = [to_number(F.col(f).cast("string")).alias(f) for f in BOX_FIELDS if f in fields]
+    points = metrics.select(*key, *dims, actual.alias("_actual"), F.array_compact(F.array(F.lit(""), *tags)).alias("_tags"))
+    return points.select(*key, *[f for f in BOX_FIELDS if f in fields], "_actual", F.explode("_tags").alias("_tag"))
+
+
+def criteria_candidates(metrics: DataFrame, criteria: DataFrame, key: list[str]) -> DataFrame:
+    """Pairs of datasets and collections that share a grid cell and the collection's tag."""
+    fields = [c for c in metrics.columns if c not in key]
+    dims = [f for f in BOX_FIELDS if f in fields]
+    collections = criteria_boxes(criteria, fields)
+    if not dims:
+        return _points(metrics, key).join(collections, "_tag")
+    return boxes.candidates(_points(metrics, key), collections, dims, "_tag")
+
+
+def match_criteria_table(metrics: DataFrame, criteria: DataFrame, key: list[str]) -> DataFrame:
+    """The passing pairs of datasets and collections of a criteria table of any size.
+
+    A collection is a box over rows and features and may ask for one text; a dataset is a point. Both
+    meet in grid cells, and only then are all conditions checked, so the work follows the passing pairs
+    and not the product. Collections without (known) conditions take every dataset.
+    """
+    dims = [f for f in BOX_FIELDS if f in metrics.columns]
+    pairs = criteria_candidates(metrics, criteria, key)
+    if dims:
+        pairs = pairs.where(boxes.inside(dims))
+    return pairs.where(_all_hold(F.col("_conditions"), F.col("_actual"))).select("collection_id", *key)
+
+
+def explain_criteria_table(
     metrics: DataFrame, criteria: DataFrame, key: list[str], salts: int | None = None
 ) -> DataFrame:
-    """Verdict of every dataset for every collection of a criteria table of any size.
+    """Verdict and reason of every dataset for every collection of a criteria table: a row for each
+    pair, so for reports. :func:`match_criteria_table` gives the passing ones.
 
     Metrics are turned to (dataset, field, value) and equi-joined to the conditions on the field.
     There are few fields, so each is spread over ``salts`` sub-keys (as many as shuffle partitions

@@ -119,6 +119,24 @@ def written_criteria(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def part_collections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A criteria table with one collection per part: ranges of rows and features, and a task."""
+    conditions = [
+        ("n_instances", "'>='", "p_size * 200"),
+        ("n_instances", "'<='", "p_size * 200 + 400"),
+        ("n_features", "'>='", "p_partkey % 110"),
+        ("n_features", "'<'", "p_partkey % 110 + 4"),
+        ("task", "'=='", "if(p_partkey % 2 = 0, 'Regression', 'classification')"),
+    ]
+    rows = ", ".join(
+        f"named_struct('cond_no', {i}, 'field', '{f}', 'op', {op}, 'value', CAST({value} AS STRING))"
+        for i, (f, op, value) in enumerate(conditions, start=1)
+    )
+    return load(spark, sf_dir, "part").selectExpr("concat('part_', p_partkey) AS collection_id", f"inline(array({rows}))").selectExpr(
+        "collection_id", "cond_no", "CAST(NULL AS INT) AS any_no", "CAST(NULL AS INT) AS group_no", "field", "op", "value"
+    )
+
+
 def lineitem_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with a constant, a sparse and a target column with gaps; line 2 occurs twice."""
     base = load(spark, sf_dir, "lineitem").withColumns(

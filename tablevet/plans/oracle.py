@@ -236,8 +236,9 @@ def _csv_text(column: str, dtype: str) -> str:
 def _row_digests(sets: list[dict], screened: str | None = None, csv: bool = False) -> str:
     """Per dataset: columns, rows and digests of whole rows; cleaned where there is a screening."""
     if screened:
+        read = "CASE WHEN dtype = 'datetime' THEN 'string' ELSE dtype END" if csv else "dtype"
         kept = f"""SELECT {KEY}, list(ordinal) AS kept,
-  string_agg(column_name || ':' || dtype, ',' ORDER BY ordinal) AS columns FROM {_flags(sets)}
+  string_agg(column_name || ':' || {read}, ',' ORDER BY ordinal) AS columns FROM {_flags(sets)}
   JOIN (SELECT {KEY} FROM {screened} WHERE status = 'validated') USING ({KEY}) WHERE is_kept GROUP BY {KEY}"""
     else:
         kept = "\nUNION ALL ".join(
@@ -253,7 +254,10 @@ def _row_digests(sets: list[dict], screened: str | None = None, csv: bool = Fals
     for s in sets:
         names = ", ".join(c for c, _ in s["columns"])
         rel = f"(SELECT DISTINCT {names} FROM {s['rel']} WHERE {s['target']} IS NOT NULL)" if screened else s["rel"]
-        texts = [_csv_text(c, t) if csv else f"CAST({c} AS VARCHAR)" for c, t in s["columns"]]
+        texts = [
+            _csv_text(c, t) if csv and not (screened and t == "datetime") else f"CAST({c} AS VARCHAR)"
+            for c, t in s["columns"]
+        ]
         row = " || ".join(
             f"CASE WHEN list_contains(kept, {i}) THEN chr(31) || coalesce('=' || {text}, '-') ELSE '' END"
             for i, text in enumerate(texts, start=1)
@@ -364,10 +368,27 @@ def _bound(field: str, low: bool, default: int, name: str) -> str:
     )
 
 
+COLLECTION_BOUNDS = f"""SELECT collection_id,
+  {_bound('n_instances', True, 500, 'min_rows')}, {_bound('n_instances', False, 10000, 'max_rows')},
+  {_bound('n_features', True, 5, 'min_features')}, {_bound('n_features', False, 100, 'max_features')},
+  CAST(max(CASE WHEN field = 'task_subtype' AND value = '''binary''' THEN 2 END) AS BIGINT) AS n_classes
+FROM (SELECT *, CASE WHEN field IN ('n_instances', 'n_features') THEN CAST(trim(value) AS BIGINT) END AS num
+  FROM {WRITTEN}) GROUP BY collection_id"""
+MATCH_PARTS = f"""SELECT 'part_' || p_partkey AS collection_id, dataset_id FROM part JOIN {METRICS}
+  ON n_instances BETWEEN p_size * 200 AND p_size * 200 + 400
+  AND n_features >= p_partkey % 110 AND n_features < p_partkey % 110 + 4
+  AND task = CASE WHEN p_partkey % 2 = 0 THEN 'regression' ELSE 'classification' END"""
+BROKEN_REASONS = ["no_header", "row_too_wide", "unclosed_quote", "invalid_utf8", "unreadable"]
+
 ORACLE = {
     "listing_scan": f"""SELECT did, name, n_instances, n_features, number_downloads FROM {LISTING}
 WHERE n_instances BETWEEN 500 AND 10000 AND n_features BETWEEN 5 AND 100 AND status = 'active'
   AND n_classes = 2""",
+    "listing_scan_by_collection": f"""SELECT b.collection_id, did, n_instances, l.n_features
+FROM {LISTING} l JOIN ({COLLECTION_BOUNDS}) b
+  ON n_instances BETWEEN min_rows AND max_rows AND l.n_features BETWEEN min_features AND max_features
+  AND (b.n_classes IS NULL OR l.n_classes = b.n_classes)
+WHERE status = 'active'""",
     "discovered": "SELECT DISTINCT collection_id, dataset_id, TRUE AS has_data FROM " + _cells(CSV_SETS),
     "csv_fleet_cells": _row_digests(CSV_SETS, csv=True),
     "cells": f"""SELECT {KEY}, ordinal, column_name, dtype, count(*) AS n_rows, {DIGESTS}
@@ -417,7 +438,20 @@ LEFT JOIN (SELECT collection_id, dataset_id, n_instances FROM {NARROW_ENTRIES})
     "filter_reason": f"SELECT dataset_id, {_reason('multiclass_imbalanced_core')} AS reason FROM {METRICS}",
     "match_collections": f"SELECT collection_id, dataset_id, passed, reason FROM {MATCHES}",
     "match_passing": f"SELECT collection_id, dataset_id FROM {MATCHES} WHERE passed",
-    "match_criteria_table": f"SELECT collection_id, dataset_id, passed, reason FROM {MATCHES}",
+    "match_criteria_table": f"SELECT collection_id, dataset_id FROM {MATCHES} WHERE passed",
+    "explain_criteria_table": f"SELECT collection_id, dataset_id, passed, reason FROM {MATCHES}",
+    "match_part_collections": MATCH_PARTS,
+    "sorted_by_collection": f"""SELECT collection_id, dataset_id, row_number() OVER (PARTITION BY collection_id ORDER BY
+  CASE WHEN collection_id = 'multiclass_imbalanced_core' THEN -imbalance_ratio END, n_instances, dataset_id) AS sort_rank
+FROM {MATCHES} WHERE passed""",
+    "csv_failed": "SELECT 'csv' AS collection_id, dataset_id, reason FROM (VALUES "
+    + ", ".join(f"('{t}', '{BROKEN_REASONS[i % 6]}')" for i, t in enumerate(SCHEMAS) if i % 6 < 5)
+    + ") AS t(dataset_id, reason)",
+    "stored_status": STATUS_UPDATE,
+    "features_only": _row_digests(
+        [dataset("features", "lineitem", "lineitem", SCHEMAS["lineitem"].replace(" l_returnflag string,", ""))]
+    ),
+    "export_readback": _row_digests(WHOLE, NARROW_SCREEN, csv=True),
     "coerce_values": f"""SELECT cond_no, field,
   CASE WHEN field IN ('n_instances', 'n_features', 'missing_rate') THEN
     TRY_CAST(CASE WHEN regexp_full_match(trim(value), '[0-9.e-]+') THEN trim(value) END AS DOUBLE) END AS num_value,
@@ -425,12 +459,7 @@ LEFT JOIN (SELECT collection_id, dataset_id, n_instances FROM {NARROW_ENTRIES})
     WHEN 'no' THEN FALSE END END AS bool_value,
   CASE WHEN field IN ('task', 'task_subtype') THEN trim(trim(value), '"''') END AS text_value
 FROM {WRITTEN}""",
-    "collection_bounds": f"""SELECT collection_id,
-  {_bound('n_instances', True, 500, 'min_rows')}, {_bound('n_instances', False, 10000, 'max_rows')},
-  {_bound('n_features', True, 5, 'min_features')}, {_bound('n_features', False, 100, 'max_features')},
-  CAST(max(CASE WHEN field = 'task_subtype' AND value = '''binary''' THEN 2 END) AS BIGINT) AS n_classes
-FROM (SELECT *, CASE WHEN field IN ('n_instances', 'n_features') THEN CAST(trim(value) AS BIGINT) END AS num
-  FROM {WRITTEN}) GROUP BY collection_id""",
+    "collection_bounds": COLLECTION_BOUNDS,
     "license_gate": f"""SELECT did, name FROM {LISTING}
 WHERE (coalesce(licence, '') <> '' OR coalesce(license, '') <> '')
   AND (coalesce(citation, '') <> '' OR coalesce(paper_url, '') <> '')""",

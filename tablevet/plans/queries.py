@@ -23,6 +23,7 @@ from tablevet.plans.inputs import (
     listing,
     load,
     metrics,
+    part_collections,
     table_fleet,
     whole_fleet,
     written_criteria,
@@ -30,8 +31,9 @@ from tablevet.plans.inputs import (
 from tablevet.session import scratch_path, staged
 from tablevet.sources import sinks
 from tablevet.sources import listing as lst
+from tablevet.sources.ledger import Ledger
 from tablevet.sources.csv_fleet import discover, infer_dtypes, read_fleet
-from tablevet.sources.fleet import KEY, Fleet, cell_digests, row_digests, skipped_columns, to_cells
+from tablevet.sources.fleet import KEY, Fleet, cell_digests, row_digests, skipped_columns, to_cells, to_fleet
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -65,6 +67,13 @@ def listing_scan(spark, sf_dir):
     )
 
 
+@query
+def listing_scan_by_collection(spark, sf_dir):
+    stored = staged(listing(spark, sf_dir), "listing")
+    bounds = crit.collection_bounds(written_criteria(spark, sf_dir))
+    return lst.scan_by_collection(stored, bounds).select("collection_id", "did", "n_instances", "n_features")
+
+
 def raw_tree(spark: SparkSession, sf_dir: str, tables: list[str]) -> str:
     root = scratch_path(spark, "raw")
     for table in tables:
@@ -84,6 +93,45 @@ def csv_fleet_cells(spark, sf_dir):
     return row_digests(read_fleet(spark, raw_tree(spark, sf_dir, TABLES)).fleet)
 
 
+BROKEN = ["no_header", "row_too_wide", "unclosed_quote", "invalid_utf8", "unreadable", "readable"]
+
+
+def broken_tree(spark: SparkSession, sf_dir: str) -> str:
+    """Every table as a CSV dataset with lines that cannot be read, of another kind for each."""
+    root = scratch_path(spark, "broken")
+    files = spark._jvm.org.apache.hadoop.fs
+    for i, table in enumerate(TABLES):
+        kind = BROKEN[i % len(BROKEN)]
+        rows = load(spark, sf_dir, table)
+        key = rows.select(F.col(rows.columns[0]).cast("string").alias("k"))
+        line = F.concat(F.lit("v,"), F.col("k"))
+        worst = {
+            "row_too_wide": F.concat(line, F.lit(",more,")),
+            "unclosed_quote": F.concat(F.lit('v,"'), F.col("k")),
+            "invalid_utf8": F.concat(line, F.lit(b"\xff").cast("string")),
+        }
+        first = key.agg(F.min("k")).first()[0]
+        lines = key.select(F.when(F.col("k") == first, worst.get(kind, line)).otherwise(line).alias("value"))
+        lines = key.agg(F.lit("a,b").alias("value")).unionByName(lines).coalesce(1)
+        folder = f"{root}/csv/{table}"
+        if kind == "no_header":
+            lines = lines.select(F.lit("").alias("value"))
+        lines.write.text(folder)
+        if kind == "unreadable":  # the name says that the lines are compressed
+            path = files.Path(folder)
+            system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+            for found in system.listStatus(path):
+                if found.getPath().getName().startswith("part-"):
+                    system.rename(found.getPath(), files.Path(f"{folder}/lines.txt.gz"))
+    return root
+
+
+@query
+def csv_failed(spark, sf_dir):
+    """Datasets that cannot be read, each with its reason."""
+    return read_fleet(spark, broken_tree(spark, sf_dir), "*.txt*").failed
+
+
 @query
 def cells(spark, sf_dir):
     return cell_digests(to_cells(table_fleet(spark, sf_dir)))
@@ -99,9 +147,9 @@ def criteria_table(spark, sf_dir):
     """The sample conditions, with the number of datasets that pass their collection."""
     criteria = crit.criteria_df(spark, SPECS)
     candidates = metrics(spark, sf_dir).select("dataset_id", *METRIC_FIELDS)
-    verdicts = crit.match_criteria_table(candidates, criteria, ["dataset_id"])
-    passing = verdicts.groupBy("collection_id").agg(F.count_if("passed").alias("n_passing"))
-    return criteria.drop("any_no", "group_no").join(passing, "collection_id")
+    pairs = crit.match_criteria_table(candidates, criteria, ["dataset_id"])
+    passing = pairs.groupBy("collection_id").agg(F.count("*").alias("n_passing"))
+    return criteria.drop("any_no", "group_no").join(passing, "collection_id", "left").na.fill(0, ["n_passing"])
 
 
 @query
@@ -187,6 +235,17 @@ def export_all_rows(spark, sf_dir):
     return row_digests(sinks.read_processed(spark, path))
 
 
+@query
+def export_readback(spark, sf_dir):
+    """The export of all collections as CSV files, read again as a fleet."""
+    fleet = whole_fleet(spark, sf_dir)
+    cleaned = screening.clean_fleet(fleet, NARROW)
+    entries = man.manifest_entries(screening.screen(fleet, NARROW))
+    path = scratch_path(spark, "export")
+    sinks.export(entries, cleaned, path, fmt="csv")
+    return row_digests(read_fleet(spark, f"{path}/data", "*").fleet)
+
+
 @query
 def export_missing(spark, sf_dir):
     fleet = whole_fleet(spark, sf_dir)
@@ -205,14 +264,26 @@ def part_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
-def status_update(spark, sf_dir):
-    outcomes = metrics(spark, sf_dir).where(F.col("status") == "active").select(
+def part_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics(spark, sf_dir).where(F.col("status") == "active").select(
         F.col("task").alias("collection_id"),
         "dataset_id",
         F.when(F.col("n_features") >= 5, "validated").otherwise("rejected").alias("status"),
     )
-    return cat.apply_status(part_catalog(spark, sf_dir), outcomes)
+
+
+@query
+def status_update(spark, sf_dir):
+    return cat.apply_status(part_catalog(spark, sf_dir), part_outcomes(spark, sf_dir))
+
+
+@query
+def stored_status(spark, sf_dir):
+    """The status update, written back as a new version of a stored ledger."""
+    ledger = Ledger(spark, scratch_path(spark, "ledger"))
+    ledger.commit(part_catalog(spark, sf_dir), 0)
+    ledger.update_status(part_outcomes(spark, sf_dir))
+    return ledger.read()
 
 
 @query
@@ -330,6 +401,19 @@ def match_criteria_table(spark, sf_dir):
     return crit.match_criteria_table(candidates, crit.criteria_df(spark, SPECS), ["dataset_id"])
 
 
+@query
+def explain_criteria_table(spark, sf_dir):
+    candidates = metrics(spark, sf_dir).select("dataset_id", *METRIC_FIELDS)
+    return crit.explain_criteria_table(candidates, crit.criteria_df(spark, SPECS), ["dataset_id"])
+
+
+@query
+def match_part_collections(spark, sf_dir):
+    """One collection per part, all of them in one table, against all candidates."""
+    candidates = metrics(spark, sf_dir).select("dataset_id", *METRIC_FIELDS)
+    return crit.match_criteria_table(candidates, part_collections(spark, sf_dir), ["dataset_id"])
+
+
 @query
 def coerce_values(spark, sf_dir):
     coerced = crit.coerce_criteria(written_criteria(spark, sf_dir))
@@ -575,6 +659,13 @@ def gate_outcomes_large(spark, sf_dir):
     return screening.gate_outcomes(screening.screen(whole_fleet(spark, sf_dir), LARGE))
 
 
+@query
+def features_only(spark, sf_dir):
+    """Line items without their target, as digests of whole rows."""
+    table = wide.features_only(load(spark, sf_dir, "lineitem"), "l_returnflag")
+    return row_digests(to_fleet(table, "lineitem", "features"))
+
+
 @query
 def gate_outcomes_ledger(spark, sf_dir):
     """Outcomes of a ledger with entries that lost their data or their profile."""
@@ -673,6 +764,15 @@ def listing_latest(spark, sf_dir):
     return lst.listing_latest(listing(spark, sf_dir)).select("dataset_id", "did", "name", "citation")
 
 
+@query
+def sorted_by_collection(spark, sf_dir):
+    """Passing candidates in the order of their own collection, which its conditions tell."""
+    passing = crit.match_passing(metrics(spark, sf_dir), SPECS)
+    keys = selection.preferred_keys(crit.criteria_df(spark, SPECS))
+    ranks = selection.sorted_by_collection(passing, keys)
+    return ranks.select("collection_id", "dataset_id", "sort_rank")
+
+
 @query
 def preferred_sort(spark, sf_dir):
     matched = passing_metrics(spark, sf_dir).where(F.col("collection_id") == SPECS[1]["collection_id"])

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablevet.functions.naming import sanitize_name
+from tablevet.operators.boxes import box_join, in_ranges, merged_ranges
 
 
 @dataclass(frozen=True)
@@ -30,6 +31,25 @@ def scan_listing(listing: DataFrame, bounds: Bounds = Bounds()) -> DataFrame:
     return found if bounds.n_classes is None else found.where(F.col("n_classes") == bounds.n_classes)
 
 
+def scan_by_collection(listing: DataFrame, bounds: DataFrame) -> DataFrame:
+    """Active candidates inside the bounds of each collection, with its ``collection_id``.
+
+    ``bounds`` comes from ``collection_bounds``. The ranges of all collections are merged to disjoint
+    ones, which reach the Parquet scan; the rows that pass are joined to the collections they lie in.
+    """
+    kept = listing.where(F.col("status") == "active")
+    ranges = bounds.select("collection_id", "n_classes", *[
+        F.col(f"{end}_{short}").alias(f"{end}_{field}")
+        for short, field in (("rows", "n_instances"), ("features", "n_features"))
+        for end in ("min", "max")
+    ]).withColumnRenamed("n_classes", "_n_classes")
+    for field in ("n_instances", "n_features"):
+        kept = kept.where(in_ranges(F.col(field), merged_ranges(ranges, field)))
+    found = box_join(kept, ranges, ["n_instances", "n_features"])
+    found = found.where(F.col("_n_classes").isNull() | (F.col("n_classes") == F.col("_n_classes")))
+    return found.select("collection_id", *listing.columns)
+
+
 def first_text(*names: str) -> Column:
     """First of the columns that is neither NULL nor empty."""
     return F.coalesce(*[F.nullif(F.col(n), F.lit("")) for n in names])

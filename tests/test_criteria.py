@@ -55,12 +55,14 @@ def test_filter(metrics, conditions, expected):
 def test_column_and_table_forms_agree(spark, metrics):
     specs = [{"collection_id": f"c{i}", "all_of": c} for i, (c, _) in enumerate(CASES) if c]
     compiled = criteria.match_collections(metrics, specs).select("collection_id", "dataset_id", "passed")
-    joined = criteria.match_criteria_table(metrics, criteria.criteria_df(spark, specs), ["dataset_id"], salts=3)
+    joined = criteria.explain_criteria_table(metrics, criteria.criteria_df(spark, specs), ["dataset_id"], salts=3)
     as_set = lambda df: {tuple(r) for r in df.collect()}
     assert as_set(compiled) == as_set(joined.select("collection_id", "dataset_id", "passed"))
     assert len(as_set(compiled)) == len(specs) * len(METRICS)
     passing = criteria.match_passing(metrics, specs).select("collection_id", "dataset_id")
     assert as_set(passing) == {(c, d) for c, d, passed in as_set(compiled) if passed}
+    boxed = criteria.match_criteria_table(metrics, criteria.criteria_df(spark, specs), ["dataset_id"])
+    assert sorted(map(tuple, boxed.collect())) == sorted(as_set(passing))
 
 
 def test_unknown_field_and_operator(metrics):
