@@ -330,7 +330,8 @@ def keep_representatives(
     members = staged(member_texts(docs, parts, "text", width), "members")
     regions, links = cut_regions(members, width, similar)
     regions = regions.repartition("region").sortWithinPartitions("region")
-    linked = connected_components(links.unionByName(regions.mapInArrow(region_rows(width, similar), LINK)))
+    links = staged(links.unionByName(regions.mapInArrow(region_rows(width, similar), LINK)), "region-links")
+    linked = connected_components(links)
     named = rows.where("doc_id IS NOT NULL").groupBy("name").agg(F.min(F.struct("doc_id", *keys)).alias("least"))
     named = named.join(linked.withColumnRenamed("node", "name"), "name", "left")
     stays = named.groupBy(F.coalesce("root", "name")).agg(F.min("least").alias("least"))
