@@ -147,7 +147,7 @@ def criteria_table(spark, sf_dir):
     """The sample conditions, with the number of datasets that pass their collection."""
     criteria = crit.criteria_df(spark, SPECS)
     candidates = metrics(spark, sf_dir).select("dataset_id", *METRIC_FIELDS)
-    pairs = crit.match_criteria_table(candidates, criteria, ["dataset_id"])
+    pairs = crit.passing_criteria_table(candidates, criteria, ["dataset_id"])
     passing = pairs.groupBy("collection_id").agg(F.count("*").alias("n_passing"))
     return criteria.drop("any_no", "group_no").join(passing, "collection_id", "left").na.fill(0, ["n_passing"])
 
@@ -411,7 +411,7 @@ def explain_criteria_table(spark, sf_dir):
 def match_part_collections(spark, sf_dir):
     """One collection per part, all of them in one table, against all candidates."""
     candidates = metrics(spark, sf_dir).select("dataset_id", *METRIC_FIELDS)
-    return crit.match_criteria_table(candidates, part_collections(spark, sf_dir), ["dataset_id"])
+    return crit.passing_criteria_table(candidates, part_collections(spark, sf_dir), ["dataset_id"])
 
 
 @query

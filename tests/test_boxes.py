@@ -83,7 +83,7 @@ def test_criteria_join_follows_the_passing_pairs(spark):
             for i in range(n)
         ]
         table = criteria.criteria_df(spark, specs)
-        passing = criteria.match_criteria_table(metrics, table, ["dataset_id"])
+        passing = criteria.passing_criteria_table(metrics, table, ["dataset_id"])
         assert {(r["collection_id"], r["dataset_id"]) for r in passing.collect()} == {(f"c{i}", i) for i in range(n)}
         return criteria.criteria_candidates(metrics, table, ["dataset_id"]).count()
 

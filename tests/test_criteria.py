@@ -61,7 +61,7 @@ def test_column_and_table_forms_agree(spark, metrics):
     assert len(as_set(compiled)) == len(specs) * len(METRICS)
     passing = criteria.match_passing(metrics, specs).select("collection_id", "dataset_id")
     assert as_set(passing) == {(c, d) for c, d, passed in as_set(compiled) if passed}
-    boxed = criteria.match_criteria_table(metrics, criteria.criteria_df(spark, specs), ["dataset_id"])
+    boxed = criteria.passing_criteria_table(metrics, criteria.criteria_df(spark, specs), ["dataset_id"])
     assert sorted(map(tuple, boxed.collect())) == sorted(as_set(passing))
 
 

@@ -59,3 +59,11 @@ def test_manifest_has_no_limit_by_default():
     import inspect
 
     assert "top_k" not in inspect.signature(manifest.manifest_rows).parameters
+
+
+def test_match_criteria_table_returns_failing_pairs_with_their_reason(spark):
+    metrics = spark.createDataFrame([("a", 5), ("b", 50)], "dataset_id string, n_features bigint")
+    specs = [{"collection_id": "n", "all_of": [{"field": "n_features", "op": "<", "value": 10}]}]
+    table = criteria.match_criteria_table(metrics, criteria.criteria_df(spark, specs), ["dataset_id"])
+    got = {r.dataset_id: (r.passed, r.reason) for r in table.collect()}
+    assert got == {"a": (True, None), "b": (False, "n_features < 10")}
