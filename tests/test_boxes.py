@@ -90,6 +90,17 @@ def test_criteria_join_follows_the_passing_pairs(spark):
     assert sizes(400) < 6 * 400
 
 
+def test_criteria_join_is_no_broadcast_and_keeps_open_ends(spark):
+    metrics = spark.range(30).selectExpr("id AS dataset_id", "id AS n_instances", "id % 7 AS n_features", "if(id % 2 = 0, 'A=b', 'c') AS task")
+    conditions = [("n_instances", ">", "4"), ("n_instances", "<", "20"), ("n_instances", ">=", "3"), ("n_features", "<", "5"), ("task", "==", "a=B")]
+    rows = [("x", i, None, None, *c) for i, c in enumerate(conditions)]
+    table = spark.createDataFrame(rows, "collection_id string, cond_no int, any_no int, group_no int, field string, op string, value string")
+    passing = criteria.passing_criteria_table(metrics, table, ["dataset_id"])
+    assert "Broadcast" not in passing._jdf.queryExecution().executedPlan().toString()
+    found = sorted(r["dataset_id"] for r in passing.collect())
+    assert found == [i for i in range(5, 20) if i % 7 < 5 and i % 2 == 0]
+
+
 def test_merged_ranges_hold_all_and_are_disjoint(spark):
     rng = random.Random(3)
     for n, most in ((0, 4), (1, 4), (40, 64), (400, 5)):
