@@ -178,3 +178,38 @@ def test_nested_columns_are_skipped(spark):
     df = table(spark, 10).withColumn("list", F.array(F.lit(1)))
     assert skipped_columns(df) == ["list"]
     assert to_fleet(df, "x").columns.where("is_target").first()["column_name"] == "y"
+
+
+def test_identifiers_are_exact_and_no_row_is_stored(spark):
+    from tablevet.session import noted_paths
+
+    long = "x" * 80
+    df = spark.range(3000).selectExpr(
+        "id AS key",
+        "IF(id = 2999, 0, id) AS almost_key",
+        f"concat('{long}', id) AS long_key",
+        f"concat('{long}', IF(id = 1234, 77, id)) AS almost_long_key",
+        "IF(id % 900 = 5, NULL, id) AS key_with_gaps",
+        "id DIV 2 AS pairs",
+        "CAST(id AS DOUBLE) AS number",
+        "id % 3 AS y",
+    )
+    fleet = to_fleet(df.unionByName(df.where("id < 700")), "x")
+    with noted_paths() as written:
+        record = screening.screen(fleet).first()
+    assert record["id_columns"] == ["key", "long_key"]
+    assert (record["raw_rows"], record["duplicate_rows"], record["n_instances"]) == (3700, 700, 3000)
+    assert (record["n_classes"], record["smallest_class"]) == (3, 1000)
+    assert record["missing_rate"] == round(4 / (3000 * 6), 4)
+    # A row per column is stored at most, never the rows of a table.
+    assert max(spark.read.parquet(path).count() for path in written) <= len(df.columns)
+
+
+def test_cleaning_meets_copies_only_where_there_are_any(spark):
+    plain, copied = table(spark, 600), table(spark, 600).unionByName(table(spark, 50))
+    fleet = fleet_of([to_fleet(plain, "plain"), to_fleet(copied, "copied"), to_fleet(table(spark, 10), "short")])
+    cleaned = screening.clean_fleet(fleet)
+    counts = {r["dataset_id"]: r["count"] for r in cleaned.rows.groupBy("dataset_id").count().collect()}
+    assert counts == {"plain": 600, "copied": 600}
+    plan = screening.clean_fleet(to_fleet(plain, "plain")).rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan
