@@ -213,3 +213,21 @@ def test_cleaning_meets_copies_only_where_there_are_any(spark):
     assert counts == {"plain": 600, "copied": 600}
     plan = screening.clean_fleet(to_fleet(plain, "plain")).rows._jdf.queryExecution().optimizedPlan().toString()
     assert "Aggregate" not in plan
+
+
+def test_copies_are_sought_in_buckets_of_short_hashes(spark):
+    ids = "id % 50 AS a", "id DIV 7 AS b", "concat('t', id) AS c", "IF(id % 9 = 0, NULL, id) AS d", "id % 3 AS y"
+    df = spark.range(4000).selectExpr(*ids)
+    pair = df.unionByName(df.where("c = 't18'"))
+    hot = df.unionByName(df.where("c = 't5'").crossJoin(spark.range(900)).drop("id"))
+    many = df.unionByName(df.where("a < 30"))
+    fleet = fleet_of([to_fleet(t, n) for n, t in (("plain", df), ("pair", pair), ("hot", hot), ("many", many))])
+    probed = fleet.columns.select("collection_id", "dataset_id").distinct()
+    found = screening.maybe_copied(fleet.rows, probed.withColumn("_copied", F.lit(False)))
+    buckets = {r["dataset_id"]: r["_buckets"] for r in found.collect()}
+    assert {n: b and len(b) for n, b in buckets.items()} == {"pair": 1, "hot": 1, "many": None}
+    record = {r["dataset_id"]: r for r in screening.screen(fleet).collect()}
+    assert {n: r["duplicate_rows"] for n, r in record.items()} == {"plain": 0, "pair": 1, "hot": 900, "many": 2400}
+    for r in record.values():
+        assert (r["n_instances"], r["n_classes"], r["smallest_class"], r["id_columns"]) == (4000, 3, 1333, ["c"])
+        assert r["missing_rate"] == round(445 / (4000 * 4), 4)
