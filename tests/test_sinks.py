@@ -69,6 +69,20 @@ def test_export_tells_what_is_missing(spark, tmp_path):
         sinks.export(entries, some, str(tmp_path / "f"), fmt="zip")
 
 
+def test_placed_rows_are_written_where_they_are(spark, tmp_path):
+    df = spark.range(900).selectExpr("id % 9 AS a", "id AS b", "id / 3 AS d", "id % 2 AS y")
+    copied = df.unionByName(df.where("b < 40")).drop("b").withColumn("b", F.col("d") * 2)
+    fleet = to_fleet(df, "one", "c").union(to_fleet(copied, "two", "c", "y"))
+    limits = screening.Limits(min_rows=10, min_features=2)
+    screened = screening.screen(fleet, limits).localCheckpoint()
+    cleaned = screening.clean_fleet(fleet, limits, screened=screened, by_dataset=True)
+    sinks.export(manifest.manifest_entries(screened), cleaned, str(tmp_path / "e"), placed=True)
+    back = sinks.read_processed(spark, str(tmp_path / "e"))
+    assert {r["dataset_id"]: r["count"] for r in back.rows.groupBy("dataset_id").count().collect()} == {"one": 900, "two": 900}
+    plain = sinks.read_processed(spark, str(tmp_path / "e")).rows.where("dataset_id = 'one'")
+    assert plain.selectExpr("sum(longs[0])").first()[0] == sum(i % 9 for i in range(900))
+
+
 LEDGER = "collection_id string, dataset_id string, status string"
 
 
