@@ -231,3 +231,32 @@ def test_copies_are_sought_in_buckets_of_short_hashes(spark):
     for r in record.values():
         assert (r["n_instances"], r["n_classes"], r["smallest_class"], r["id_columns"]) == (4000, 3, 1333, ["c"])
         assert r["missing_rate"] == round(445 / (4000 * 4), 4)
+
+
+def test_hashes_are_dealt_as_they_are_read_to_tasks_of_a_fixed_size(spark):
+    hashed = spark.range(1000).selectExpr("id % 2 AS _of", "xxhash64(id DIV IF(id < 2, 2, 1)) AS _hash")
+    assert screening.dealt(hashed, ["_hash"], 5 * screening.TASK_HASHES + 1).rdd.getNumPartitions() == 6
+    assert screening.dealt(hashed, ["_hash"], 0).rdd.getNumPartitions() == 1
+    fleet = to_fleet(table(spark, 600), "x")
+    copied = fleet.columns.select("collection_id", "dataset_id").distinct()
+    copied = copied.withColumn("_buckets", F.lit(None).cast("array<int>"))
+    for df in (
+        screening.repeats(hashed, ["_of"], 1000),
+        screening.maybe_copied(fleet.rows, copied.select("collection_id", "dataset_id", F.lit(False).alias("_copied"))),
+        screening.row_facts(fleet.rows, copied, 600),
+    ):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "collect_set" not in plan
+        # Nothing is folded or sorted between the rows and the deal.
+        lines = plan.split("\n")
+        at = max(i for i, line in enumerate(lines) if "REPARTITION_BY_NUM" in line)
+        below = [line for line in lines[at + 1 : at + 8] if "Scan" not in line]
+        assert not any("Aggregate" in line and "_hash" in line or "Sort" in line for line in below[:3])
+
+
+def test_repeats_are_exact_for_many_and_few_hashes(spark):
+    plain = "SELECT 1L AS _of, xxhash64(id) AS _hash FROM range(5000)"
+    again = "SELECT 2L AS _of, xxhash64(id % 4990) AS _hash FROM range(5000)"
+    hot = "SELECT 3L AS _of, xxhash64(IF(id % 3 = 0, 0, id)) AS _hash FROM range(5000)"
+    found = screening.repeats(spark.sql(f"{plain} UNION ALL {again} UNION ALL {hot}"), ["_of"], 15000)
+    assert {r["_of"]: len(r["_buckets"]) for r in found.collect()} == {2: 10, 3: 1}
