@@ -1,8 +1,8 @@
 """Column and dataset profiles.
 
-One value-count job serves the missing, distinct, class, constant, identifier, type and task
-operators: values are counted per (dataset, column, value), then folded per (dataset, column), each
-store in its own type. Both steps aggregate before their shuffle, so a value or dataset that holds a third of all cells
+One value-count job serves the distinct, class, constant, identifier, type and task operators, and one
+that counts rows by the places of their missing values the others: values are counted per (dataset, column,
+value), then folded per (dataset, column), each store in its own type. Both steps aggregate before their shuffle, so a value or dataset that holds a third of all cells
 arrives as a few partial counts.
 """
 
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tablevet.functions.values import NUMERIC_DTYPES, STORE_TYPES, value_key
 from tablevet.limits import Limits
-from tablevet.sources.fleet import KEY, Fleet
+from tablevet.sources.fleet import KEY, Fleet, dataset_code, numbered
 
 MB = 1024 * 1024
 
@@ -31,41 +31,69 @@ def names_where(condition: Column) -> Column:
     return F.transform(F.array_sort(picked), lambda c: c["column_name"])
 
 
-def column_code(store: str | Column) -> Column:
-    """A number that stands for a column of a fleet, so that its values are not each counted beside the
-    names of its dataset; missing for a dataset without a name."""
+def store_code(store: str | Column) -> Column:
+    """A number that stands for one store of a dataset, the same for all its rows; missing for a dataset
+    without a name."""
     store = F.lit(store) if isinstance(store, str) else store
     named = F.col(KEY[0]).isNotNull() & F.col(KEY[1]).isNotNull()
-    return F.when(named, F.xxhash64(*KEY, store, F.col("slot").cast("int")))
+    return F.when(named, F.xxhash64(*KEY, store))
 
 
-def column_profile(fleet: Fleet) -> DataFrame:
-    """Rows, missing values, distinct values and value frequencies of every column."""
+def column_code(of_store: Column) -> Column:
+    """A number that stands for a column of a fleet, so that its values are not each counted beside the
+    names of its dataset."""
+    return of_store.bitwiseXOR(F.col("slot").cast("bigint"))
+
+
+def missing_counts(fleet: Fleet) -> DataFrame:
+    """Rows and missing values of every column, by its code. Rows are counted by the places of their missing
+    values; the values are not told apart, and where no query asks for them not made."""
+    kinds = fleet.rows.select(dataset_code(), F.coalesce("fingerprint.gaps", F.lit("")).alias("_gaps"))
+    kinds = kinds.groupBy("_of", "_gaps").agg(F.count(F.lit(1)).alias("_n"))
+    code = column_code(store_code(F.col("store"))).alias("_column")
+    places = numbered(fleet.columns).select("_of", "_at", code).distinct()
+    gap = F.substring(F.col("_gaps"), F.col("_at") + 1, F.lit(1)) == "1"
+    return kinds.join(places, "_of").groupBy("_column").agg(
+        F.sum("_n").alias("n_rows"), F.sum(F.when(gap, F.col("_n")).otherwise(0)).alias("n_missing")
+    )
+
+
+def value_counts(fleet: Fleet) -> DataFrame:
+    """Distinct values, value frequencies and bytes of texts of every column, by its code."""
     parts = []
     for store in STORE_TYPES:
         texts = store == "texts"
         key = value_key(F.col("_value")) if texts else F.col("_value")
         size = F.sum(F.octet_length("_value")) if texts else F.lit(0).cast("bigint")
         counts = (
-            fleet.rows.select(*KEY, F.posexplode(store).alias("slot", "_value"))
-            .groupBy(column_code(store).alias("_column"), key.alias("_key"))
+            fleet.rows.select(store_code(store).alias("_store"), F.posexplode(store).alias("slot", "_value"))
+            .groupBy(column_code(F.col("_store")).alias("_column"), key.alias("_key"))
             .agg(F.count("*").alias("_n"), size.alias("_bytes"))
         )
         found = F.when(F.col("_key").isNotNull(), F.col("_n"))
         parts.append(
             counts.groupBy("_column").agg(
-                F.sum("_n").alias("n_rows"),
-                (F.sum("_n") - F.coalesce(F.sum(found), F.lit(0))).alias("n_missing"),
                 F.count("_key").alias("n_unique"),
                 F.min(found).alias("min_count"),
                 F.max(found).alias("max_count"),
                 F.sum("_bytes").alias("text_bytes"),
             )
         )
-    stats = reduce(DataFrame.unionByName, parts)
+    # A store's columns are in one part. Told to be one row each, they need not be joined where not asked for.
+    return reduce(DataFrame.unionByName, parts).groupBy("_column").agg(
+        *[F.max(c).alias(c) for c in ("n_unique", "min_count", "max_count", "text_bytes")]
+    )
+
+
+def column_profile(fleet: Fleet) -> DataFrame:
+    """Rows, missing values, distinct values and value frequencies of every column.
+
+    Spark leaves out the counts of values, or of missing ones, where a query asks for none of them.
+    """
     return (
-        fleet.columns.withColumn("_column", column_code(F.col("store")))
-        .join(stats, "_column", "left")
+        fleet.columns.withColumn("_column", column_code(store_code(F.col("store"))))
+        .join(missing_counts(fleet), "_column", "left")
+        .join(value_counts(fleet), "_column", "left")
         .drop("kind", "declared", "store", "slot", "_column")
         .na.fill(0, ["n_rows", "n_missing", "n_unique", "text_bytes"])
     )

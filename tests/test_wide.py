@@ -96,3 +96,27 @@ def test_listing_bounds_reach_the_scan(spark, tmp_path):
     pushed = plan[plan.index("PushedFilters") :]
     for part in ("GreaterThanOrEqual(n_instances,500)", "LessThanOrEqual(n_features,100)", "EqualTo(status,active)"):
         assert part in pushed
+
+
+def test_missing_values_are_counted_without_telling_values_apart(spark):
+    from tablevet.operators import profile
+    from tablevet.sources.fleet import fleet_of, to_fleet
+
+    df = spark.range(700).selectExpr(
+        "IF(id % 7 = 0, NULL, id) AS a",
+        "CASE WHEN id % 5 = 0 THEN double('nan') WHEN id % 5 = 1 THEN NULL ELSE id END AS b",
+        "CAST(id AS STRING) AS c",
+        "IF(id < 3, NULL, timestamp_ntz'2020-01-01 00:00:00') AS t",
+        "CAST(NULL AS INT) AS y",
+    )
+    fleet = fleet_of([to_fleet(df, "gaps"), to_fleet(df.where("id < 0"), "empty"), to_fleet(df.select("c"), "full")])
+    got = profile.column_profile(fleet)
+    counts = {(r["dataset_id"], r["column_name"]): (r["n_rows"], r["n_missing"]) for r in got.collect()}
+    assert counts == {
+        ("gaps", "a"): (700, 100), ("gaps", "b"): (700, 280), ("gaps", "c"): (700, 0),
+        ("gaps", "t"): (700, 3), ("gaps", "y"): (700, 700), ("full", "c"): (700, 0),
+        **{("empty", c): (0, 0) for c in "abcty"},
+    }
+    plan = profile.columns_with_missing(got)._jdf.queryExecution().optimizedPlan().toString()
+    assert "posexplode" not in plan
+    assert "posexplode" in profile.feature_types(got)._jdf.queryExecution().optimizedPlan().toString()
