@@ -230,7 +230,8 @@ def node_links(nodes: DataFrame, distance: int = MAX_DISTANCE, similar: int = 0,
     cells = in_cells(nodes, n_blocks or blocks_for(nodes.count(), distance), distance)
     sizes = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("in_cell")).where("in_cell > 1")
     chunks = F.ceil(F.col("in_cell") / CELL_ROWS).cast("int")
-    members = cells.join(sizes, "cell").withColumn("k", chunks)
+    # Estimates miss that a node is in many cells, so a broadcast would pass them all through the driver.
+    members = cells.hint("merge").join(sizes, "cell").withColumn("k", chunks)
     members = members.withColumn("own", F.pmod(F.xxhash64("node"), "k").cast("int"))
     others = F.filter(F.sequence(F.lit(0), F.col("k") - 1), lambda j: (j != F.col("own")) | (F.col("k") == 1))
     groups = members.select("cell", "node", "fp", "n", "own", F.explode(others).alias("other")).select(
