@@ -186,7 +186,8 @@ def _scan(
     spans = current_spans(ledger_table(spark, ledger_path), rules)
     # Only short findings of blobs with many copies are broadcast.
     few = F.when(F.size("spans") <= BROADCAST_SPANS, F.col("copies")).otherwise(0)
-    findings = staged(spans.join(counts, "blob").withColumn("n", few).drop("copies"), "findings")
+    # Estimates miss the spans of a blob and, below, the pieces of a text, so neither may be broadcast by them.
+    findings = staged(spans.hint("merge").join(counts, "blob").withColumn("n", few).drop("copies"), "findings")
     return join_by_size(paths, findings, "blob", "n", paths.count())
 
 
@@ -257,6 +258,6 @@ def mask(docs: DataFrame, keys: list[str], found: DataFrame) -> DataFrame:
     cut = F.regexp_extract_all(F.col("text"), F.lit(f"(?s).{{1,{MASK_PIECE}}}"), F.lit(0))
     pieces = F.transform(cut, lambda text, i: masked(text, F.get(F.col(parts), i)["ms"]))
     clean = by_address(docs, keys, found, "left_anti")
-    named = by_address(docs, keys, found, "left_semi").join(dense, keys)
+    named = by_address(docs, keys, found, "left_semi").join(dense.hint("merge"), keys)
     rewritten = named.select(*[F.array_join(pieces, "").alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns])
     return clean.unionByName(rewritten)
