@@ -72,3 +72,10 @@ def test_folded_rows_of_many_datasets_are_laid_out_by_dataset(spark, monkeypatch
     limits = screening.Limits(min_rows=10, min_features=1)
     cleaned = screening.clean_fleet(copied_fleet(spark, 2), limits, by_dataset=True)
     assert "REBALANCE" in cleaned.rows._jdf.queryExecution().executedPlan().toString() and cleaned.rows.count() == 60
+
+
+def test_file_counts_of_a_csv_tree_are_stored(spark, tmp_path):
+    fleet = to_fleet(spark.range(30).selectExpr("id AS a", "id % 2 AS y"), "d", "c")
+    with noted_paths() as made:
+        sinks.write_csv_tree(fleet, str(tmp_path / "t"))
+    assert any("/files-" in path for path in made)
